@@ -8,11 +8,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.schemas import TOPIC_RECORD  # noqa: F401  (the shape built below)
+from tidelog.operators import commits, envelope, versions
+from tidelog.options import IngestOptions, TableOptions
 
 TOPIC_TABLES = {"evt-click": "web.clicks", "evt-error": "ops.errors"}
 GROUP = "cg-control-sink"
 COMMIT_SPAN = 500
+OPTIONS = IngestOptions(
+    name="sink-events",
+    topic_tables=TOPIC_TABLES,
+    dynamic_tables=True,
+    route_field="iceberg_table",
+    cdc_field="_cdc_op",
+    default_id_columns=("dedup_key",),
+    control_group=GROUP,
+    default_branch="main",
+    table_options={"web.clicks": TableOptions(id_columns=("dedup_key",), commit_branch="audit")},
+    extra_summary={"pipeline.owner": "data-team"},
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,3 +62,77 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("key"),
         F.when(event % 101 != 7, F.to_json(message)).alias("value"),
     )
+
+
+def rows_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope.parse_envelopes(cdc_messages(spark, sf_dir), mapping=TOPIC_TABLES)
+
+
+def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return envelope.split_errors(rows_with_errors(spark, sf_dir))[0]
+
+
+def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.filter_versions(valid_rows(spark, sf_dir))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows as a changelog: every 500 messages make a commit."""
+    return rows.withColumn("commit_seq", F.floor(F.col("offset") / COMMIT_SPAN))
+
+
+def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbered(valid_rows(spark, sf_dir))
+
+
+def snapshots(spark: SparkSession, sf_dir: str, options=None) -> DataFrame:
+    """The snapshot log of that changelog; each commit is stamped five seconds after its newest record."""
+    rows = changelog(spark, sf_dir)
+    stamped = rows.groupBy("commit_seq").agg((F.unix_millis(F.max("timestamp")) + 5000).alias("ingest_ms"))
+    changes = commits.running_totals(commits.skip_empty(commits.table_changes(rows)))
+    vectors = commits.commit_vectors(rows)
+    return commits.snapshot_rows(changes.join(stamped, "commit_seq"), vectors, options or OPTIONS, GROUP)
+
+
+def commit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commit events, one per event row, with files named repeatedly within and across events."""
+    event, user = F.col("event_id"), F.col("user_id")
+
+    def file(prefix, number):
+        return F.struct(
+            F.concat(F.lit(prefix), number.cast("string"), F.lit(".parquet")).alias("path"),
+            (number % 3).cast("int").alias("spec_id"),
+            (number % 13).alias("record_count"),
+        )
+
+    seventh = F.floor(event / 7)
+    first = file("data-", seventh)
+    written = event % 4 != 3
+    assignment = F.struct(
+        F.lit("t").alias("topic"), (user % 4).cast("int").alias("partition"), event.alias("offset"),
+        F.when(event % 97 != 0, F.col("ts").cast("timestamp")).alias("ts"),
+    )
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("e"), event.cast("string")).alias("event_id"),
+        F.when(user % 5 == 0, "other").otherwise(GROUP).alias("group_id"),
+        F.col("ts").cast("timestamp").alias("event_ts"),
+        F.when(written, "DATA_WRITTEN").otherwise("DATA_COMPLETE").alias("type"),
+        (user % 3).cast("int").alias("partition"),
+        event.alias("offset"),
+        F.concat(F.lit("c"), F.floor(event / COMMIT_SPAN).cast("string")).alias("commit_id"),
+        F.concat(F.lit("db."), F.col("event_type")).alias("table"),
+        F.when(written & (event % 11 == 0), F.array(first, first)).when(written, F.array(first)).alias("data_files"),
+        F.when(written & (user % 6 == 0), F.array(file("delete-", F.floor(event / 9)))).alias("delete_files"),
+        F.when(~written & (event % 8 == 3), F.array(assignment, assignment))
+        .when(~written, F.array(assignment)).alias("assignments"),
+    )
+
+
+def raw_commit_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as undecoded text, some of it broken."""
+    return commit_events(spark, sf_dir).select(
+        "event_id", "partition", "offset",
+        F.when(F.col("offset") % 89 == 3, F.lit("garbage{")).otherwise(
+            F.to_json(F.struct("group_id", "type", "commit_id"))
+        ).alias("payload"),
+    )
