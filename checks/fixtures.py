@@ -73,7 +73,8 @@ def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return versions.filter_versions(valid_rows(spark, sf_dir))
+    levels = versions.chunk_levels(cdc_messages(spark, sf_dir))
+    return versions.filter_versions(valid_rows(spark, sf_dir), chunk_bits=levels)
 
 
 def numbered(rows: DataFrame) -> DataFrame:

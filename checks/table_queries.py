@@ -9,6 +9,7 @@ from checks.registry import over_filtered, over_mentions, over_snapshots, over_v
 from checks.row_queries import CURRENT
 from tidelog.operators import apply, audit, commits, envelope, lineage, tables, versions
 from tidelog.operators.route import split_known_tables
+from tidelog.session import cut_lineage
 
 KEYS = ["iceberg_table", "dedup_key"]
 
@@ -587,7 +588,8 @@ def _sparse_offsets(spark, sf):
     SELECT h.tbl AS "table", h.snapshot_id AS head_id, arg_max(a.offsets, a.commit_seq) AS offsets
     FROM snap h JOIN snap a ON a.tbl = h.tbl AND a.commit_seq <= h.commit_seq AND a.commit_seq % 3 = 0 GROUP BY ALL"""))
 def offsets_by_ancestry(spark, sf):
-    log = _sparse_offsets(spark, sf)
+    # A written log, as it is in a store: the recursion reads it once per step.
+    log = cut_lineage(_sparse_offsets(spark, sf))
     found = lineage.committed_offsets_by_ancestry(
         log, log.select("table", "snapshot_id"), fx.OPTIONS.control_topic, fx.GROUP)
     return found.select("table", "head_id", "offsets")

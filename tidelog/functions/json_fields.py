@@ -40,27 +40,30 @@ def item_list(doc: Column, name: str = "data") -> Column:
     return F.try_variant_get(doc, _path(name), "array<variant>")
 
 
-def _joined(values: Column) -> Column:
-    present = F.array_sort(F.filter(values, lambda value: value.isNotNull()))
-    return F.when(F.size(present) > 0, F.array_join(present, KEY_SEPARATOR))
+def key_objects(data: Column) -> Column:
+    """Objects of a JSON array text as maps; null where an item is no object or ``data`` no array."""
+    return F.from_json(data, "array<map<string,string>>")
 
 
-def composite_key(data: Column, key_field: Column) -> Column:
-    """Values found under ``key_field`` in each object of the JSON array text: sorted, then joined.
+def key_values(objects: Column, data: Column, key_field: Column) -> Column:
+    """Values found under ``key_field`` in each object of ``data``, sorted. ``objects`` is ``key_objects(data)``.
 
-    Duplicates stay; items that are not objects and null values are skipped. Null when nothing is left.
+    Duplicates stay; items that are not objects and null values are skipped.
     """
-    objects = F.from_json(data, "array<map<string,string>>")
-    # Arrays with other items in them do not fit that type; they take the slower typed route.
-    mixed = F.filter(F.try_parse_json(data).try_cast("array<variant>"), is_object)
-    return F.when(
+    values = F.when(
         objects.isNull() | F.exists(objects, lambda item: item.isNull()),
-        _joined(
-            F.transform(
-                mixed, lambda item: F.try_element_at(item.cast("map<string,variant>"), key_field).cast("string")
-            )
+        # Arrays with other items in them do not fit the map type; they take the slower typed route.
+        F.transform(
+            F.filter(F.try_parse_json(data).try_cast("array<variant>"), is_object),
+            lambda item: F.try_element_at(item.cast("map<string,variant>"), key_field).cast("string"),
         ),
-    ).otherwise(_joined(F.transform(objects, lambda item: F.try_element_at(item, key_field))))
+    ).otherwise(F.transform(objects, lambda item: F.try_element_at(item, key_field)))
+    return F.array_sort(F.array_compact(values))
+
+
+def composite_key(values: Column) -> Column:
+    """Sorted key values as one text; null when there are none."""
+    return F.when(F.size(values) > 0, F.array_join(values, KEY_SEPARATOR))
 
 
 # Fields of a change envelope. ``data`` stays JSON text; ``version`` keeps its JSON type, because numbers

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 COMMA = ","
 # A comma that is not inside a parenthesis pair, as in "bucket(id, 4), type".
 COMMA_OUTSIDE_PARENS = r",(?![^()]*\))"
+EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
 def split_trimmed(text: Column, separator: str = COMMA) -> Column:
     """Split and trim each part. Null and empty text give an empty list, trailing empty parts are dropped."""
     body = F.regexp_replace(text, r",+$", "")
-    parts = F.transform(F.split(body, separator), F.trim)
+    parts = F.transform(F.split(body, separator), lambda part: F.regexp_replace(part, EDGE_BLANKS, ""))
     return F.when(body.isNull() | (body == ""), F.array().cast("array<string>")).otherwise(parts)
 
 

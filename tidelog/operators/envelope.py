@@ -1,7 +1,7 @@
 """Change envelopes: decode, validate, project.
 
-The JSON text is read once per row. Both reading steps are generators with a single output row, which
-the optimizer neither repeats nor merges into the filters above them.
+The JSON text is read once per row. The reading steps are generators with a single output row, which the
+optimizer neither repeats nor merges into the filters above them.
 """
 
 from __future__ import annotations
@@ -91,15 +91,16 @@ def parse_envelopes(
     Tombstones are left out. A row that breaks several rules carries the first in checking order: the
     version of a row with a usable key is read before the other fields are looked at.
     """
+    fields = _read_fields(records).withColumnsRenamed({"version": "_version", "length": "_length"})
     derived = _once(
-        _read_fields(records).withColumnsRenamed({"version": "_version", "length": "_length"}),
+        _once(fields, F.struct(J.key_objects(F.col("data")).alias("_objects"))),
         F.struct(
-            J.composite_key(F.col("data"), F.col("key")).alias("dedup_key"),
+            J.key_values(F.col("_objects"), F.col("data"), F.col("key")).alias("_key_values"),
             J.variant_long(F.col("_version")).alias("version"),
             J.kind(F.col("_version")).alias("_version_kind"),
             F.coalesce(F.col("_length").try_cast("string"), F.lit("0")).alias("length"),
         ),
-    )
+    ).withColumn("dedup_key", J.composite_key(F.col("_key_values")))
     unusable_version = F.col("_version_kind").isNotNull() & F.col("version").isNull()
     error = (
         F.when(F.col("_fault").isNotNull(), F.col("_fault"))

@@ -30,6 +30,18 @@ from tidelog.functions.text import is_delete
 
 # 1,024 offsets to a chunk of rows, 4,096 chunks to a group of chunks.
 DEFAULT_CHUNK_BITS = (10, 22)
+_ROW_BITS, _GROUP_BITS = 10, 12
+
+
+def chunk_levels(records: DataFrame, cut: str = "offset") -> tuple[int, ...]:
+    """As many levels of chunks as the offsets at hand need, so that no group exceeds 4,096 per partition.
+
+    Runs a job that reads the offset column only; a source that cannot prune columns better names the levels.
+    """
+    low, high = records.agg(F.min(cut), F.max(cut)).first()
+    span_bits = int((high or 0) - (low or 0)).bit_length()
+    levels = max(1, -(-(span_bits - _ROW_BITS) // _GROUP_BITS))
+    return tuple(_ROW_BITS + _GROUP_BITS * level for level in range(levels))
 
 def _none() -> Column:
     return F.lit(None).cast("bigint")

@@ -120,6 +120,7 @@ def ingest_batch(
     seq: int,
     options: IngestOptions,
     scope: Sequence[str] = ("topic",),
+    chunk_bits: Sequence[int] | None = None,
     **how,
 ) -> bool:
     """Records to a commit. The filter states come from the store: the last accepted version per key.
@@ -129,5 +130,5 @@ def ingest_batch(
     if store.committed(seq):
         return False
     initial = versions.latest_states(store.history(), scope, order=("commit_seq", "partition", "offset"))
-    accepted = transform(records, options, scope, initial)
+    accepted = transform(records, options, scope, initial, chunk_bits or versions.chunk_levels(records))
     return commit(store, accepted, seq, options, tombstones=records.where(F.col("value").isNull()), **how)

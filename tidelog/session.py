@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that only steer the optimizer; a cluster's own values win when already set.
 SQL_SETTINGS = {
@@ -41,3 +41,11 @@ def shared_folder(spark: SparkSession) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="run-", dir="/tmp")
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+
+
+def cut_lineage(rows: DataFrame) -> DataFrame:
+    """Rows written once to the shared folder and read from there, for plans that use them many times."""
+    spark = rows.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return rows.checkpoint()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators import envelope
+from tidelog.operators import envelope, versions
 from tidelog.options import IngestOptions
 from tidelog.plans import ingest
 from tidelog.sources.changelog import ChangelogStore
@@ -31,6 +31,7 @@ def start_ingest(
     scope: Sequence[str] = ("topic",),
     trigger: dict | None = None,
     ttl_ms: int | None = None,
+    chunk_bits: Sequence[int] = versions.DEFAULT_CHUNK_BITS,
     **how,
 ) -> StreamingQuery:
     """Starts the query. The micro-batch id is the commit number, so a replayed batch is the same commit.
@@ -49,7 +50,7 @@ def start_ingest(
         source = records
 
         def each(batch: DataFrame, batch_id: int) -> None:
-            ingest.ingest_batch(store, batch, batch_id, options, scope, **how)
+            ingest.ingest_batch(store, batch, batch_id, options, scope, chunk_bits, **how)
     else:
         raise ValueError(f"state must be {CHANGELOG!r} or {STATE_STORE!r}, not {state!r}")
     writer = source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
@@ -62,7 +63,3 @@ def progress_rates(query: StreamingQuery) -> list[dict]:
         {"batch": p["batchId"], "input_rows": p["numInputRows"], "rows_per_sec": p["processedRowsPerSecond"]}
         for p in query.recentProgress
     ]
-
-
-def tombstones(records: DataFrame) -> DataFrame:
-    return records.where(F.col("value").isNull())
