@@ -10,6 +10,7 @@ from tidelog.functions import json_fields as J
 from tidelog.functions import text, times
 from tidelog.functions import summary as S
 from tidelog.operators import apply, audit, envelope, route, versions
+from tidelog.session import cut_lineage
 
 ROUTES = {"db.urgent": "1-URGENT|2-HIGH", "db.low": r"5-.*", "db.any": ".*", "db.part": "URGENT", "db.none": None}
 
@@ -53,7 +54,8 @@ cur AS (SELECT a.* FROM {rows} a LEFT JOIN last USING (tbl, dedup_key)
 @query("src_5_current_table", over_filtered(
     CURRENT.format(rows="acc") + "SELECT tbl AS iceberg_table, dedup_key, type, version FROM cur"))
 def current_table(spark, sf):
-    rows = fx.numbered(fx.accepted_rows(spark, sf))
+    # The changelog is written once, as an ingestion job does; the view then reads it twice.
+    rows = cut_lineage(fx.numbered(fx.accepted_rows(spark, sf)))
     view = apply.merge_on_read(rows, ["iceberg_table", "dedup_key"])
     return view.select("iceberg_table", "dedup_key", "type", "version").orderBy("iceberg_table", "dedup_key", "version")
 
