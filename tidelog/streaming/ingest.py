@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from tidelog.operators import envelope, versions
 from tidelog.options import IngestOptions
@@ -38,7 +38,8 @@ def start_ingest(
 
     ``state="changelog"``: filter states are read from the committed changelog, per batch, and a frequent
     key is spread over tasks. ``state="state store"``: they live in the query's state store; cheaper per
-    batch once there are many keys, with the record limit of the trigger as the bound per key.
+    batch once there are many keys, with the record limit of the trigger as the bound per key. Offsets of
+    tombstones are then not part of the published offsets; the checkpoint has them either way.
     """
     if state == STATE_STORE:
         parsed = envelope.parse_envelopes(records, options.namespace, options.topic_tables)
@@ -50,7 +51,12 @@ def start_ingest(
         source = records
 
         def each(batch: DataFrame, batch_id: int) -> None:
-            ingest.ingest_batch(store, batch, batch_id, options, scope, chunk_bits, **how)
+            # Filter, tombstone offsets and retries inside the commit read the batch; the source is asked once.
+            held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                ingest.ingest_batch(store, held, batch_id, options, scope, chunk_bits, **how)
+            finally:
+                held.unpersist()
     else:
         raise ValueError(f"state must be {CHANGELOG!r} or {STATE_STORE!r}, not {state!r}")
     writer = source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
