@@ -80,7 +80,7 @@ def test_unfinished_commit_is_invisible_and_overwritten(spark, tmp_path):
     store = ChangelogStore(spark, str(tmp_path / "s"))
     ingest.ingest_batch(store, golden_records(spark, 0), 0, options())
     leftover = store.changelog().drop("commit_seq").limit(2)
-    leftover.write.partitionBy("iceberg_table").parquet(store.folder("changelog", 1))
+    leftover.selectExpr("*", "'applied' AS fate").write.partitionBy("fate", "iceberg_table").parquet(store.folder("changelog", 1))
     assert store.changelog().count() == 3
     ingest.ingest_batch(store, golden_records(spark, 1), 1, options())
     assert store.written(1).count() == 3
@@ -121,8 +121,8 @@ def test_quarantine_unknown_tables_and_assignment(spark, tmp_path):
     registry = spark.createDataFrame([("def.abc",)], "iceberg_table string")
     ingest.ingest_batch(store, rows, 0, options(**{"errors.tolerance": "all"}), registry=registry, assigned=assigned)
     assert [r.iceberg_table for r in store.changelog().collect()] == ["def.abc"]
-    assert spark.read.parquet(store.folder("quarantine", 0)).count() == 1
-    assert [r.iceberg_table for r in spark.read.parquet(store.folder("skipped", 0)).collect()] == ["default.other"]
+    assert [r.error for r in store.set_aside("quarantined").collect()] == ["value is not JSON"]
+    assert [r.iceberg_table for r in store.set_aside("skipped").collect()] == ["default.other"]
     cycle = store.cycles().first()
     assert cycle.watermark_ms is None and cycle.offsets == '{"other/0":1,"qtmt-tramquantrac/0":1}'
 
@@ -136,6 +136,7 @@ def test_static_tables_and_user_steps(spark, tmp_path):
     ingest.ingest_batch(store, records(spark, values), 0, both, steps=[lambda df: df.where("dedup_key <> 'TRAM003'")])
     assert sorted((r.iceberg_table, r.dedup_key) for r in store.changelog().collect()) == [
         ("db.a", "TRAM001"), ("db.b", "TRAM001"), ("db.b", "TRAM002")]
+    assert [r.iceberg_table for r in store.set_aside("skipped").collect()] == []
     assert {r.table: r.branch for r in store.snapshots().collect()} == {"db.a": None, "db.b": "side"}
 
 

@@ -6,12 +6,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from tidelog.functions import summary as S
 from tidelog.operators import commits, envelope, route, versions
 from tidelog.options import IngestOptions
-from tidelog.sources.changelog import ChangelogStore
+from tidelog.sources.changelog import APPLIED, QUARANTINED, SKIPPED, ChangelogStore
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -33,16 +32,19 @@ def chain(rows: DataFrame, steps: Sequence[Step]) -> DataFrame:
 
 
 def to_tables(rows: DataFrame, options: IngestOptions) -> DataFrame:
-    """Rows to their tables by the configured rule; a static rule may send a row to several."""
+    """Rows to their tables by the configured rule; a static rule may send a row to several.
+
+    Rows no rule sends anywhere stay, with a null table: their offsets count as read.
+    """
     if options.dynamic_tables:
-        routed = route.route_dynamic(rows, options.route_field)
+        routed = route.route_dynamic(rows, options.route_field, keep_unrouted=True)
     elif options.tables is None:
         return rows
     elif options.route_field is None:
         routed = route.route_to_all(rows, options.tables)
     else:
         patterns = {name: options.for_table(name).route_regex for name in options.tables}
-        routed = route.route_by_pattern(rows, options.route_field, patterns)
+        routed = route.route_by_pattern(rows, options.route_field, patterns, keep_unrouted=True)
     return routed.drop("iceberg_table").withColumnRenamed("route_table", "iceberg_table")
 
 
@@ -59,38 +61,36 @@ def commit(
     """Writes commit ``seq`` unless it is already there. Returns whether it was written.
 
     Order of writing: rows, snapshots, and the cycle record that makes them visible. A failure before
-    the last step leaves nothing readers can see, and the same commit can be done again.
+    the last step leaves nothing readers can see, and the same commit can be done again. The rows are
+    computed once, by the job that writes them; counts and offsets are read from what was written.
     """
     if store.committed(seq):
         return False
-    held = chain(accepted, steps).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if options.tolerate_errors:
-            good, bad = envelope.split_errors(held)
-            bad.write.mode("overwrite").parquet(store.folder("quarantine", seq))
-        else:
-            good = envelope.fail_on_errors(held)
-        routed = to_tables(good, options)
-        if registry is not None:
-            routed, unknown = route.split_known_tables(routed, registry)
-            unknown.write.mode("overwrite").parquet(store.folder("skipped", seq))
-        # Rebalancing splits what one big table gets over many files and packs small tables together.
-        routed.hint("rebalance", "iceberg_table").write.mode("overwrite").partitionBy("iceberg_table").parquet(
-            store.folder("changelog", seq)
-        )
-        _write_metadata(store, good, seq, options, tombstones, assigned)
-    finally:
-        held.unpersist()
+    rows = chain(accepted, steps)
+    if not options.tolerate_errors:
+        rows = envelope.fail_on_errors(rows).withColumn("error", F.lit(None).cast("string"))
+    routed = to_tables(rows, options)
+    known = F.col("iceberg_table").isNotNull()
+    if registry is not None:
+        routed = route.mark_known_tables(routed, registry)
+        known = known & F.col("table_known")
+    fate = F.when(F.col("error").isNotNull(), QUARANTINED).when(known, APPLIED).otherwise(SKIPPED)
+    # Rebalancing splits what one big table gets over many files and packs small tables together.
+    (
+        routed.withColumn("fate", fate).drop("table_known").hint("rebalance", "fate", "iceberg_table")
+        .write.mode("overwrite").partitionBy("fate", "iceberg_table").parquet(store.folder("changelog", seq))
+    )
+    _write_metadata(store, seq, options, tombstones, assigned)
     return True
 
 
-def _write_metadata(store, good, seq, options, tombstones, assigned) -> None:
-    spark = store.spark
-    read = good.select("topic", "partition", "offset", "timestamp")
+def _write_metadata(store, seq, options, tombstones, assigned) -> None:
+    spark, written = store.spark, store.written(seq)
+    read = written.where(F.col("fate") != QUARANTINED).select("topic", "partition", "offset", "timestamp")
     if tombstones is not None:
         read = read.unionByName(tombstones.select(*read.columns))
     vectors = commits.commit_vectors(read.withColumn("commit_seq", F.lit(seq).cast("bigint")), assigned=assigned)
-    changes = commits.skip_empty(commits.table_changes(store.written(seq)))
+    changes = commits.skip_empty(commits.table_changes(written.where(F.col("fate") == APPLIED)))
     before = store.snapshots().groupBy(F.col("table").alias("iceberg_table")).agg(
         F.max_by(F.struct("snapshot_id", "total_records"), "commit_seq").alias("_previous")
     )

@@ -2,11 +2,12 @@
 
 Layout below the root folder:
 
-    changelog/commit_seq=N/iceberg_table=T/   rows of commit N
+    changelog/commit_seq=N/fate=F/iceberg_table=T/
+                                              rows of commit N; F tells rows of the table from rows
+                                              without a known table and rows with an error
     snapshots/commit_seq=N/                   one row per table the commit changed
     cycles/commit_seq=N/                      one row, written last: it makes commit N visible
     base/through=N/                           current rows up to commit N, from a compaction
-    skipped/, quarantine/                     rows without a table, rows with an error
 
 A commit owns its folders, so doing it again overwrites exactly what the first attempt left.
 """
@@ -26,6 +27,9 @@ CHANGELOG_SCHEMA = (
     "ngay_cap_nhat string, length string, _cdc_op string, topic string, partition int, offset bigint, "
     "timestamp timestamp, iceberg_table string, commit_seq bigint"
 )
+STORED_SCHEMA = CHANGELOG_SCHEMA + ", error string, fate string"
+# Values of ``fate``.
+APPLIED, SKIPPED, QUARANTINED = "applied", "skipped", "quarantined"
 SNAPSHOT_SCHEMA = (
     "table string, branch string, snapshot_id bigint, parent_id bigint, committed_at timestamp, "
     "operation string, summary map<string,string>, added_records bigint, total_records bigint, commit_seq bigint"
@@ -64,13 +68,20 @@ class ChangelogStore:
     def snapshots(self) -> DataFrame:
         return self._visible(self._read("snapshots", SNAPSHOT_SCHEMA))
 
+    def _stored(self) -> DataFrame:
+        return self._read("changelog", STORED_SCHEMA)
+
     def changelog(self, table: str | None = None) -> DataFrame:
-        rows = self._visible(self._read("changelog", CHANGELOG_SCHEMA))
+        rows = self._visible(self._stored().where(F.col("fate") == APPLIED)).drop("fate", "error")
         return rows if table is None else rows.where(F.col("iceberg_table") == table)
 
+    def set_aside(self, fate: str) -> DataFrame:
+        """Rows that reached no table: ``skipped`` or ``quarantined``."""
+        return self._visible(self._stored().where(F.col("fate") == fate)).drop("fate")
+
     def written(self, seq: int) -> DataFrame:
-        """Rows of one commit, finished or not."""
-        return self._read("changelog", CHANGELOG_SCHEMA).where(F.col("commit_seq") == seq)
+        """Everything one commit wrote, finished or not."""
+        return self._stored().where(F.col("commit_seq") == seq)
 
     def base_through(self) -> int | None:
         """Last commit covered by a finished compaction."""
@@ -119,7 +130,8 @@ class ChangelogStore:
 
     def with_files(self) -> DataFrame:
         """Changelog rows with the file each is stored in."""
-        return self._read("changelog", CHANGELOG_SCHEMA).withColumn("file_path", F.col("_metadata.file_path"))
+        applied = self._stored().where(F.col("fate") == APPLIED)
+        return applied.withColumn("file_path", F.col("_metadata.file_path")).drop("fate", "error")
 
     def files(self) -> DataFrame:
         """One row per file: path, table, commit, records, and the snapshot that added it."""

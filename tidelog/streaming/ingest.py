@@ -27,7 +27,7 @@ def start_ingest(
     store: ChangelogStore,
     options: IngestOptions,
     checkpoint: str,
-    state: str = CHANGELOG,
+    state: str = STATE_STORE,
     scope: Sequence[str] = ("topic",),
     trigger: dict | None = None,
     ttl_ms: int | None = None,
@@ -36,10 +36,13 @@ def start_ingest(
 ) -> StreamingQuery:
     """Starts the query. The micro-batch id is the commit number, so a replayed batch is the same commit.
 
-    ``state="changelog"``: filter states are read from the committed changelog, per batch, and a frequent
-    key is spread over tasks. ``state="state store"``: they live in the query's state store; cheaper per
-    batch once there are many keys, with the record limit of the trigger as the bound per key. Offsets of
-    tombstones are then not part of the published offsets; the checkpoint has them either way.
+    ``state="state store"``: filter states live in the query's state store, so a batch costs what its own
+    rows cost; the record limit of the trigger (``maxOffsetsPerTrigger``) bounds what one key can bring.
+    Offsets of tombstones are then not part of the published offsets; the checkpoint has them either way.
+
+    ``state="changelog"``: states are read from the committed changelog (key columns only), so nothing but
+    the tables has to be kept, and a frequent key is spread over tasks. A batch then also costs a scan of
+    the stored keys: for large, rarer batches, with compaction.
     """
     if state == STATE_STORE:
         parsed = envelope.parse_envelopes(records, options.namespace, options.topic_tables)

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+BYPASS_GROUPS = 256
 
-def keep_new_versions(versions: Sequence[int], deletes: Sequence[bool], state: int | None) -> tuple[list[bool], int | None]:
+
+def keep_new_versions(
+    versions: Sequence[int], deletes: Sequence[bool], state: int | None
+) -> tuple[list[bool], int | None]:
     """Which messages of one key, in order, are accepted; and the state behind them."""
     accepted = []
     for version, delete in zip(versions, deletes):
@@ -31,8 +35,8 @@ def stateful_filter(
     """Streaming rows that pass the filter. Late rows are judged by version, never by time.
 
     A key's rows of one micro-batch meet in one task, so the trigger's record limit bounds the group.
-    Rows without key or version pass: each gets a key of its own and leaves no state. States are kept
-    for good unless ``ttl_ms`` is set, which forgets keys idle for that long.
+    Rows without key or version pass, spread over a fixed number of groups without state. States are
+    kept for good unless ``ttl_ms`` is set, which forgets keys idle for that long.
     """
     columns, schema = rows.columns, rows.schema
 
@@ -58,7 +62,9 @@ def stateful_filter(
         yield frame.loc[accepted, columns]
 
     usable = F.col(key).isNotNull() & F.col("version").isNotNull()
-    own = F.when(usable, F.concat(F.lit("k"), F.col(key))).otherwise(F.concat(F.lit("r"), F.col("id")))
+    own = F.when(usable, F.concat(F.lit("k"), F.col(key))).otherwise(
+        F.concat(F.lit("r"), F.pmod(F.xxhash64(*order), F.lit(BYPASS_GROUPS)).cast("string"))
+    )
     timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     keyed = rows.withColumn("_state_key", own).groupBy(*scope, "_state_key")
     return keyed.applyInPandasWithState(
