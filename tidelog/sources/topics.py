@@ -58,3 +58,21 @@ def replay_stream(spark: SparkSession, folder: str, max_files: int | None = None
 def replay_batch(spark: SparkSession, folder: str, topics: Sequence[str] = ()) -> DataFrame:
     rows = spark.read.schema(TOPIC_RECORD).parquet(folder)
     return rows.where(F.col("topic").isin(list(topics))) if topics else rows
+
+
+def resume(records: DataFrame, committed: DataFrame, start: str = "earliest") -> DataFrame:
+    """Records a batch job still has to read.
+
+    Where a topic partition has a committed offset (``topic, partition, next_offset``) reading goes on
+    there. Elsewhere ``start`` decides: all (earliest), nothing that is already there (latest), or an
+    error (none).
+    """
+    place = ["topic", "partition"]
+    known = F.col("next_offset")
+    rest = {
+        "earliest": F.lit(True),
+        "latest": F.lit(False),
+        "none": F.raise_error(F.concat(F.lit("no committed offset for "), F.concat_ws("/", *place))).cast("boolean"),
+    }[start]
+    unread = F.when(known.isNotNull(), F.col("offset") >= known).otherwise(rest)
+    return records.join(committed.select(*place, "next_offset"), place, "left").where(unread).select(*records.columns)
