@@ -61,3 +61,17 @@ def test_lookup_filter_reaches_the_files(spark, tmp_path):
     view = A.merge_on_read(spark.read.parquet(str(tmp_path / "log")), ["dedup_key"])
     plan = view.where("dedup_key = 'k1'")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("EqualTo(dedup_key,k1)") == 2
+
+
+def test_merge_input_for_table_formats(spark):
+    from tests.helpers import message, records
+    from tidelog.operators.envelope import parse_envelopes
+    from tidelog.sources import iceberg
+    values = [message((1,), "INSERT", 1), message((2,), "UPDATE", 1), message((3,), "DELETE", 1)]
+    source = iceberg.delta_source(parse_envelopes(records(spark, values)), ["dedup_key"]).collect()
+    assert sorted((r._gone, r._match_dedup_key, r.dedup_key) for r in source if r._gone) == [
+        (True, "TRAM002", None), (True, "TRAM003", None)]
+    assert sorted((r.dedup_key, r._match_dedup_key) for r in source if not r._gone) == [
+        ("TRAM001", None), ("TRAM002", None)]
+    statement = iceberg.merge_statement(iceberg.on_branch("db.t", "audit"), "s", ["dedup_key"])
+    assert statement.startswith("MERGE INTO db.t.branch_audit t USING s s ON t.dedup_key = s._match_dedup_key WHEN MATCHED")

@@ -35,7 +35,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only where none is named."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured
     if spark.sparkContext.master.startswith("local"):
