@@ -75,3 +75,26 @@ def test_merge_input_for_table_formats(spark):
         ("TRAM001", None), ("TRAM002", None)]
     statement = iceberg.merge_statement(iceberg.on_branch("db.t", "audit"), "s", ["dedup_key"])
     assert statement.startswith("MERGE INTO db.t.branch_audit t USING s s ON t.dedup_key = s._match_dedup_key WHEN MATCHED")
+
+
+def test_skewed_join_is_split(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("dedup_key"),
+        F.lit("U").alias("_cdc_op"), F.lit(0).cast("bigint").alias("commit_seq"), F.lit(0).alias("partition"),
+        F.col("id").alias("offset"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.shuffle.partitions": "32",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = A.merge_on_read(rows, ["dedup_key"]).groupBy().count()
+        assert found.collect()[0][0] == 200_000 - (200_000 + 2) // 3 + 1
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in plan

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.operators.joins import join_per_key
+
 APPEND, UPSERT = "append", "upsert"
 DEFAULT_ORDER = ("commit_seq", "partition", "offset")
 
@@ -33,7 +35,7 @@ def new_rows(changes: DataFrame, op: str = "_cdc_op") -> DataFrame:
 
 
 def remove_keys(target: DataFrame, keys: DataFrame, id_columns: Sequence[str]) -> DataFrame:
-    return target.join(keys, list(id_columns), "left_anti")
+    return join_per_key(target, keys, list(id_columns), "left_anti")
 
 
 def copy_on_write(
@@ -68,7 +70,7 @@ def merge_on_read(
     """Current rows of an ordered changelog: I and U rows with no later removal of their key.
 
     The position of the last removal is aggregated first (one row per key and task is sent), then joined:
-    a frequent key loads no single task, as a window over its history would, and AQE can split the join.
+    a frequent key loads no single task, as a window over its history would.
     In upsert mode at most one row per key is left, so the newest row itself is aggregated, without a join.
     """
     if insert_mode == UPSERT:
@@ -79,9 +81,8 @@ def merge_on_read(
         return newest.select(*id_columns, "_row.*").where(F.col(op) != "D").select(*changelog.columns)
     last = last_replacement(changelog, id_columns, insert_mode, op, order)
     current: Column = F.col("_last").isNull() | (F.struct(*order) >= F.col("_last"))
-    return (
-        new_rows(changelog, op).join(last, list(id_columns), "left").where(current).select(*changelog.columns)
-    )
+    joined = join_per_key(new_rows(changelog, op), last, list(id_columns), "left")
+    return joined.where(current).select(*changelog.columns)
 
 
 def append_only(table: DataFrame, changes: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.text import matches_fully
+from tidelog.operators.joins import bounded_broadcast
 
 
 def route_value(rows: DataFrame, route_field: str) -> DataFrame:
@@ -53,7 +54,7 @@ def route_by_pattern(
 
 def mark_known_tables(rows: DataFrame, registry: DataFrame, table: str = "iceberg_table") -> DataFrame:
     """Adds ``table_known``: whether the row's table is in the registry."""
-    names = registry.select(table, F.lit(True).alias("table_known")).distinct()
+    names = bounded_broadcast(registry.select(table, F.lit(True).alias("table_known")).distinct())
     return rows.join(names, table, "left").withColumn("table_known", F.coalesce("table_known", F.lit(False)))
 
 
@@ -61,5 +62,5 @@ def split_known_tables(
     rows: DataFrame, registry: DataFrame, table: str = "iceberg_table"
 ) -> tuple[DataFrame, DataFrame]:
     """(rows whose table exists, rows whose table does not). ``registry`` has the table column."""
-    names = registry.select(table).distinct()
+    names = bounded_broadcast(registry.select(table).distinct())
     return rows.join(names, table, "left_semi"), rows.join(names, table, "left_anti")

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.text import is_delete
+from tidelog.operators.joins import join_per_key
 
 # 1,024 offsets to a chunk of rows, 4,096 chunks to a group of chunks.
 DEFAULT_CHUNK_BITS = (10, 22)
@@ -219,7 +220,7 @@ def action(change_type: Column, version: Column, existing: Column) -> Column:
 
 def classify(batch: DataFrame, existing: DataFrame, key: Sequence[str] = ("dedup_key",)) -> DataFrame:
     """Adds ``existing_version`` and ``action``. ``existing`` has the key and ``existing_version``."""
-    joined = batch.join(existing, list(key), "left")
+    joined = join_per_key(batch, existing, list(key), "left")
     return joined.withColumn("action", action(F.col("type"), F.col("version"), F.col("existing_version")))
 
 
@@ -229,7 +230,7 @@ def apply_classified(
     """Removes old rows of updated and deleted keys, then appends inserted and updated rows."""
     gone = classified.where(F.col("action").isin(UPDATE, DELETE)).select(*key).distinct()
     fresh = classified.where(F.col("action").isin(INSERT, UPDATE)).select(*table.columns)
-    return table.join(gone, list(key), "left_anti").unionByName(fresh)
+    return join_per_key(table, gone, list(key), "left_anti").unionByName(fresh)
 
 
 def action_counts(classified: DataFrame, by: Sequence[str] = ()) -> DataFrame:
