@@ -91,21 +91,25 @@ def _write_metadata(store, seq, options, tombstones, assigned) -> None:
         read = read.unionByName(tombstones.select(*read.columns))
     vectors = commits.commit_vectors(read.withColumn("commit_seq", F.lit(seq).cast("bigint")), assigned=assigned)
     changes = commits.skip_empty(commits.table_changes(written.where(F.col("fate") == APPLIED)))
-    before = store.snapshots().groupBy(F.col("table").alias("iceberg_table")).agg(
-        F.max_by(F.struct("snapshot_id", "total_records"), "commit_seq").alias("_previous")
+    before = store.heads_before(seq)
+    previous = before.select(
+        F.col("table").alias("iceberg_table"), F.col("snapshot_id").alias("parent_id"),
+        F.col("total_records").alias("_total"),
     )
-    now = F.unix_millis(F.current_timestamp())
-    changes = changes.join(before, "iceberg_table", "left").select(
+    changes = changes.join(previous, "iceberg_table", "left").select(
         *changes.columns,
-        now.alias("ingest_ms"),
-        (F.coalesce(F.col("_previous.total_records"), F.lit(0)) + F.col("added_records")).alias("total_records"),
-        F.col("_previous.snapshot_id").alias("_parent"),
+        "parent_id",
+        F.unix_millis(F.current_timestamp()).alias("ingest_ms"),
+        (F.coalesce("_total", F.lit(0)) + F.col("added_records")).alias("total_records"),
     )
+    counts = changes.select(F.col("iceberg_table").alias("table"), "parent_id", "added_records", "total_records")
     snapshots = commits.snapshot_rows(changes, vectors, options, options.group_id)
-    parents = changes.select(F.col("iceberg_table").alias("table"), "added_records", "total_records", "_parent")
-    snapshots = snapshots.drop("parent_id", "commit_seq").join(parents, "table").withColumnRenamed("_parent", "parent_id")
+    snapshots = snapshots.drop("parent_id", "commit_seq").join(counts, "table")
     # At most one row per table, so one file; it appears as a whole or not at all.
     snapshots.coalesce(1).write.mode("overwrite").parquet(store.folder("snapshots", seq))
+    made = store.new_snapshots(seq).select("table", "snapshot_id", "total_records", "commit_seq")
+    heads = made.unionByName(before.join(made.select("table"), "table", "left_anti"))
+    heads.coalesce(1).write.mode("overwrite").parquet(store.folder("heads", seq))
     cycle = spark.range(1).select(F.lit(seq).cast("bigint").alias("commit_seq")).join(vectors, "commit_seq", "left")
     cycle.select(
         S.stable_uuid(F.lit(options.group_id), F.col("commit_seq")).alias("commit_id"),

@@ -6,6 +6,7 @@ Layout below the root folder:
                                               rows of commit N; F tells rows of the table from rows
                                               without a known table and rows with an error
     snapshots/commit_seq=N/                   one row per table the commit changed
+    heads/commit_seq=N/                       newest snapshot of every table as of commit N
     cycles/commit_seq=N/                      one row, written last: it makes commit N visible
     base/through=N/                           current rows up to commit N, from a compaction
 
@@ -34,6 +35,7 @@ SNAPSHOT_SCHEMA = (
     "table string, branch string, snapshot_id bigint, parent_id bigint, committed_at timestamp, "
     "operation string, summary map<string,string>, added_records bigint, total_records bigint, commit_seq bigint"
 )
+HEAD_SCHEMA = "table string, snapshot_id bigint, total_records bigint, commit_seq bigint"
 CYCLE_SCHEMA = "commit_id string, watermark_ms bigint, offsets string, commit_seq bigint"
 BASE_SCHEMA = CHANGELOG_SCHEMA + ", through bigint"
 
@@ -55,6 +57,12 @@ class ChangelogStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.folder(name))
 
+    def _read_commit(self, name: str, schema: str, seq: int) -> DataFrame:
+        """One commit's folder, without listing those of the others."""
+        if not self._exists(self.folder(name, seq)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.option("basePath", self.folder(name)).schema(schema).parquet(self.folder(name, seq))
+
     def committed(self, seq: int) -> bool:
         return self._exists(f"{self.folder('cycles', seq)}/_SUCCESS")
 
@@ -68,6 +76,10 @@ class ChangelogStore:
     def snapshots(self) -> DataFrame:
         return self._visible(self._read("snapshots", SNAPSHOT_SCHEMA))
 
+    def new_snapshots(self, seq: int) -> DataFrame:
+        """Snapshots of one commit, finished or not."""
+        return self._read_commit("snapshots", SNAPSHOT_SCHEMA, seq)
+
     def _stored(self) -> DataFrame:
         return self._read("changelog", STORED_SCHEMA)
 
@@ -81,19 +93,33 @@ class ChangelogStore:
 
     def written(self, seq: int) -> DataFrame:
         """Everything one commit wrote, finished or not."""
-        return self._stored().where(F.col("commit_seq") == seq)
+        return self._read_commit("changelog", STORED_SCHEMA, seq)
 
-    def base_through(self) -> int | None:
-        """Last commit covered by a finished compaction."""
-        folder = self.folder("base")
+    def _numbers(self, folder: str, part: str) -> list[int]:
+        """Numbers of the finished sub-folders, from their names alone."""
         if not self._exists(folder):
-            return None
+            return []
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         entries = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(path)
-        done = [e.getPath().getName() for e in entries if e.isDirectory()]
-        ends = [int(name.split("=")[1]) for name in done
-                if name.startswith("through=") and self._exists(f"{folder}/{name}/_SUCCESS")]
-        return max(ends, default=None)
+        names = [e.getPath().getName() for e in entries if e.isDirectory()]
+        return [int(name.split("=")[1]) for name in names if name.startswith(f"{part}=")]
+
+    def base_through(self) -> int | None:
+        """Last commit covered by a finished compaction."""
+        folder = self.folder("base")
+        ends = self._numbers(folder, "through")
+        return max((n for n in ends if self._exists(f"{folder}/through={n}/_SUCCESS")), default=None)
+
+    def heads_before(self, seq: int) -> DataFrame:
+        """Newest snapshot per table before a commit: one small file, however many commits there are."""
+        if self.committed(seq - 1):
+            previous = seq - 1
+        else:
+            earlier = [n for n in self._numbers(self.folder("cycles"), "commit_seq") if n < seq and self.committed(n)]
+            if not earlier:
+                return self.spark.createDataFrame([], HEAD_SCHEMA)
+            previous = max(earlier)
+        return self.spark.read.schema(HEAD_SCHEMA).parquet(self.folder("heads", previous))
 
     def history(self, table: str | None = None, as_of: int | None = None) -> DataFrame:
         """What the current view is built from: the base, if one fits, and the commits after it."""
