@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tidelog.llm.common import crc_remainder, small_side
 
-DIMENSIONS = 1024
+DIMENSIONS = 512
 SEED = 20_011
 _BLOCK = 4096
 _LETTERS_KEPT = 2048
@@ -29,21 +29,25 @@ def _is_letter() -> np.ndarray:
 
 
 class LetterVectors:
-    """Vectors of letters, made when first met; at most a few thousand are kept between texts."""
+    """Vectors of letters in their three rotations, made when first met; a few thousand are kept between texts."""
 
     def __init__(self) -> None:
-        self.row_of: dict[int, int] = {}
-        self.vectors = np.empty((0, DIMENSIONS), dtype=np.int8)
+        self.row_of = np.full(0x110000, -1, dtype=np.int32)
+        self.rotated = np.empty((3, 0, DIMENSIONS), dtype=np.int8)
 
-    def rows(self, letters: np.ndarray) -> np.ndarray:
-        if len(self.row_of) > _LETTERS_KEPT:
+    def rows(self, codes: np.ndarray) -> np.ndarray:
+        if self.rotated.shape[1] > _LETTERS_KEPT:
             self.__init__()
-        new = [c for c in letters.tolist() if c not in self.row_of]
-        if new:
-            made = [np.random.Generator(np.random.PCG64([SEED, c])).integers(0, 2, DIMENSIONS, dtype=np.int8) * 2 - 1 for c in new]
-            self.row_of.update((c, len(self.vectors) + i) for i, c in enumerate(new))
-            self.vectors = np.concatenate([self.vectors, np.array(made, dtype=np.int8)])
-        return np.array([self.row_of[c] for c in letters.tolist()], dtype=np.int64)
+        rows = self.row_of[codes]
+        if (rows < 0).any():
+            new = np.unique(codes[rows < 0])
+            made = np.array([np.random.Generator(np.random.PCG64([SEED, c])).integers(0, 2, DIMENSIONS, dtype=np.int8) * 2 - 1
+                             for c in new.tolist()], dtype=np.int8)
+            self.row_of[new] = np.arange(len(new)) + self.rotated.shape[1]
+            rotations = np.stack([np.roll(made, 2 - place, axis=1) for place in range(3)])
+            self.rotated = np.concatenate([self.rotated, rotations], axis=1)
+            rows = self.row_of[codes]
+        return rows
 
 
 def windows(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
@@ -70,12 +74,8 @@ def text_vector(text: str | None, letters: LetterVectors) -> np.ndarray | None:
         return None
     codes, counts = found
     mask = (1 << 21) - 1
-    trio = np.stack([codes >> 42, (codes >> 21) & mask, codes & mask])
-    alphabet, place = np.unique(trio, return_inverse=True)
-    rows = letters.rows(alphabet)
-    base = letters.vectors[rows]
-    third, second, first = base, np.roll(base, 1, axis=1), np.roll(base, 2, axis=1)
-    place = place.reshape(trio.shape)
+    place = letters.rows(np.stack([codes >> 42, (codes >> 21) & mask, codes & mask]))
+    first, second, third = letters.rotated
     total = np.zeros(DIMENSIONS, dtype=np.float64)
     for start in range(0, len(codes), _BLOCK):
         part = slice(start, start + _BLOCK)
