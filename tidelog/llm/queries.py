@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.chat import PART, conversation_digests, format_conversations
+from tidelog.llm.fingerprint import fingerprint_documents
 from tidelog.llm.language import identify_language
 from tidelog.llm.quality import score_quality
 from tidelog.llm.registry import query
@@ -25,6 +26,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents"))
 
 
+@query("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 # A literal < | with a backslash between stands for an escaped control string.
 @query("op8_chat_formatting", r"""
 WITH said AS (
