@@ -10,6 +10,7 @@ from tidelog.llm.fingerprint import fingerprint_documents
 from tidelog.llm.language import identify_language
 from tidelog.llm.quality import score_quality
 from tidelog.llm.registry import query
+from tidelog.llm.topk import exact_top_k, quantised
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,3 +54,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.array(F.struct(F.lit("text").alias("kind"), "text", F.lit(None).cast("string").alias("ref"),
                             F.lit(None).cast("bigint").alias("tokens"))).cast(f"array<{PART}>")
     return conversation_digests(format_conversations(said.withColumn("parts", part)))
+
+
+@query("op10_exact_top_k", """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS query_id, b.vec_id,
+           CAST(list_sum(list_transform(generate_series(1, least(len(a.q), len(b.q))), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", quantised(F.col("embedding")).alias("vector"))
+    return exact_top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
