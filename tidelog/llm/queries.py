@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.chat import PART, conversation_digests, format_conversations
 from tidelog.llm.fingerprint import fingerprint_documents
 from tidelog.llm.language import identify_language
+from tidelog.llm.licenses import scan_licenses, scan_sql
 from tidelog.llm.quality import score_quality
 from tidelog.llm.registry import query
 from tidelog.llm.topk import exact_top_k, quantised
@@ -56,6 +57,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_conversations(said.withColumn("parts", part)))
 
 
+@query("op9_license_scan", scan_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op10_exact_top_k", """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
