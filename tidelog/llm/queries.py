@@ -9,6 +9,8 @@ from tidelog.llm.chat import PART, conversation_digests, format_conversations
 from tidelog.llm.fingerprint import fingerprint_documents
 from tidelog.llm.language import identify_language
 from tidelog.llm.licenses import scan_licenses, scan_sql
+from tidelog.llm.neardup import near_duplicates
+from tidelog.llm.pieces import encode_documents
 from tidelog.llm.quality import score_quality
 from tidelog.llm.registry import query
 from tidelog.llm.topk import exact_top_k, quantised
@@ -28,11 +30,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents"))
 
 
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op6_document_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op7_minhash_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copies")
+
+
 # A literal < | with a backslash between stands for an escaped control string.
 @query("op8_chat_formatting", r"""
 WITH said AS (
