@@ -9,6 +9,7 @@ from tidelog.llm.chat import PART, conversation_digests, format_conversations
 from tidelog.llm.fingerprint import fingerprint_documents
 from tidelog.llm.language import identify_language
 from tidelog.llm.licenses import scan_licenses, scan_sql
+from tidelog.llm.linedup import dedup_lines
 from tidelog.llm.neardup import near_duplicates
 from tidelog.llm.pieces import encode_documents
 from tidelog.llm.quality import score_quality
@@ -30,6 +31,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(table(spark, sf_dir, "documents"))
 
 
+@query("op3_line_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_deleted")
+
+
 @query("op4_sentencepiece")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
