@@ -10,6 +10,7 @@ from tidelog.llm.fingerprint import fingerprint_documents
 from tidelog.llm.language import identify_language
 from tidelog.llm.licenses import scan_licenses, scan_sql
 from tidelog.llm.linedup import dedup_lines
+from tidelog.llm.mixing import mix_to_weights
 from tidelog.llm.neardup import near_duplicates
 from tidelog.llm.pieces import encode_documents
 from tidelog.llm.quality import score_quality
@@ -41,6 +42,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op5_mixing_to_weights")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_to_weights(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.select("doc_id", "n_tokens", "posterior", "rate")
+
+
 @query("op6_document_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
