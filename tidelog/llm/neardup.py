@@ -219,13 +219,13 @@ def _shingle_sets(texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False, bands: int = BANDS) -> DataFrame:
-    """doc_id, mark, class_id, copies: one row per row of ``docs``.
+    """doc_id, mark, class_id, class_key, copies: one row per row of ``docs``.
 
     Documents whose shingle sets have a (weighted) Jaccard similarity of at least ``similarity`` are linked, and linked
     documents form a class, named by its smallest doc_id. ``mark`` is the hash of the text, ``copies`` the number of
-    rows with the same shingle set.
+    rows with the same shingle set, ``class_key`` a number that no other class has.
 
-    Null and empty texts are classes of their own. Null ids never name a class unless all its ids are null. Repeated
+    Null and empty texts are classes of their own, without a key. Null ids never name a class unless all its ids are null. Repeated
     rows are copies. Other columns are not looked at.
     """
     signed = written(signed_documents(docs, weighted, bands), "signed")
@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
 
 def _row_id():
     """The id, a number for a null one too."""
-    return F.coalesce("doc_id", F.lit(-(2**63)))
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
 
 
 def _one_text_each(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -288,8 +288,25 @@ def _pairs_across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, ratio:
 def _classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     of_node = nodes.select("node", "first_id", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = of_node.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    named = join_per_key(of_node, names, ["label"], "left").select("node", "class_id", "copies")
+    named = join_per_key(of_node, names, ["label"], "left").select(
+        "node", "class_id", F.col("label").alias("class_key"), "copies")
     rows = join_per_key(signed.select("doc_id", "mark", "node"), named, ["node"], "left")
     return rows.select(
         "doc_id", "mark", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("copies", F.lit(1)).alias("copies"))
+        "class_key", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
+def first_of_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay when each class of :func:`near_duplicates` keeps one; all columns as they are.
+
+    Of a class the first by id (null last), then by text hash, stays; of rows alike in both, any one. Null and empty
+    texts all stay.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), _row_id().alias("row_id"), "mark")
+    firsts = classes.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min(place).alias("first")).select("first.row_id", "first.mark")
+    chosen = firsts.withColumnsRenamed({"row_id": "_row_id", "mark": "_mark"})
+    keyed = docs.withColumns({"_row_id": _row_id(), "_mark": F.xxhash64("text")})
+    once = Window.partitionBy("_row_id", "_mark").orderBy("_row_id")
+    met = keyed.join(chosen, ["_row_id", "_mark"]).withColumn("_nth", F.row_number().over(once))
+    empty = docs.filter("text IS NULL OR text = ''")
+    return met.filter("_nth = 1").select(*docs.columns).unionByName(empty)
