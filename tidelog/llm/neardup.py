@@ -7,7 +7,7 @@ similarity. A dart field is thrown only as far up as a document needs, for all s
 
 Signatures are cut into bands. Documents that share a band are linked to one of them, the links are verified on whole
 shingle sets, and linked documents become components. Where documents of one band still lie in different components,
-they are verified with each other, so no link depends on which of them was chosen.
+all pairs of them that can be similar at all are verified, so no link depends on which of them was chosen.
 """
 
 from __future__ import annotations
@@ -184,38 +184,52 @@ def _digest(data: bytes, person: bytes = b"") -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8, person=person).digest(), "little", signed=True)
 
 
-def _similarity(weighted: bool):
-    def similarity(a: pd.Series, ca: pd.Series, b: pd.Series, cb: pd.Series) -> pd.Series:
-        out = []
-        for x, wx, y, wy in zip(a, ca, b, cb):
-            if not weighted:
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(common / max(len(x) + len(y) - common, 1))
-                continue
-            _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-            low = np.minimum(wx[i], wy[j]).sum()
-            out.append(low / max(wx.sum() + wy.sum() - low, 1))
-        return pd.Series(out, dtype="float64")
+_COMPARED = T.StructType([T.StructField("near", T.DoubleType()), T.StructField("diff", T.ArrayType(T.IntegerType()))])
+
+
+@F.pandas_udf(_COMPARED)
+def _compared(centre: pd.Series, other: pd.Series) -> pd.DataFrame:
+    """Jaccard similarity, and in what the other set differs: its own elements, then those it lacks."""
+    near, diff = [], []
+    for c, x in zip(centre, other):
+        own = np.setdiff1d(x, c, assume_unique=True)
+        union = len(c) + len(own)
+        near.append((len(x) - len(own)) / max(union, 1))
+        diff.append(np.concatenate([own, np.setdiff1d(c, x, assume_unique=True)]))
+    return pd.DataFrame({"near": near, "diff": diff})
+
+
+@F.pandas_udf(T.DoubleType())
+def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)]
+    return pd.Series([n / max(len(x) + len(y) - n, 1) for n, x, y in zip(common, a, b)], dtype="float64")
 
-    return F.pandas_udf(similarity, T.DoubleType())
 
+def _elements(hashes: np.ndarray, weighted: bool) -> np.ndarray:
+    """Sorted 32-bit elements of a set; with weights, the k-th time of a shingle is an element of its own."""
+    if weighted and len(hashes):
+        hashes = np.sort(hashes)
+        fresh = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+        first = np.flatnonzero(fresh)
+        nth = np.arange(len(hashes)) - np.repeat(first, np.diff(np.concatenate([first, [len(hashes)]])))
+        with np.errstate(over="ignore"):
+            hashes = mixed(hashes + nth.astype(np.uint64) * _STEP)
+    return np.unique((hashes >> np.uint64(32)).astype(np.uint32).view(np.int32))
 
-def _shingle_sets(texts: DataFrame) -> DataFrame:
-    """node, shingles (sorted 32-bit hashes), counts of one text per node."""
+
+def _shingle_sets(texts: DataFrame, weighted: bool) -> DataFrame:
+    """node, elements of one text per node."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), _BATCH):
                 part = batch.slice(start, _BATCH)
-                found = [np.unique((h >> np.uint64(32)).astype(np.uint32).view(np.int32), return_counts=True)
-                         for h in shingle_hashes([t or "" for t in part.column("text").to_pylist()])]
-                ends = np.concatenate([[0], np.cumsum([len(h) for h, _ in found])]).astype(np.int32)
-                hashes = np.concatenate([h for h, _ in found]) if found else np.zeros(0, np.int32)
-                counts = np.concatenate([c for _, c in found]).astype(np.int32) if found else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(counts))], names=["node", "shingles", "counts"])
+                found = [_elements(h, weighted) for h in shingle_hashes([t or "" for t in part.column("text").to_pylist()])]
+                ends = np.concatenate([[0], np.cumsum([len(h) for h in found])]).astype(np.int32)
+                flat = np.concatenate(found) if found else np.zeros(0, np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "elements"])
 
-    return texts.mapInArrow(rows, "node bigint, shingles array<int>, counts array<int>")
+    return texts.mapInArrow(rows, "node bigint, elements array<int>")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False, bands: int = BANDS) -> DataFrame:
@@ -234,24 +248,22 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
         known.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.max("n").alias("n"),
                                   F.min(F.struct(_row_id().alias("row_id"), "mark")).alias("row")), "nodes")
     members = known.select("node", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre <> last")
-    shared = written(
-        join_per_key(members, buckets.select("band", "centre"), ["band"], "inner").select("band", "node", "centre").distinct(),
-        "shared-bands")
-    sets = written(_shingle_sets(_one_text_each(docs, shared.select("node").distinct().join(nodes, "node"))), "shingle-sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xs"), F.col("counts").alias("xc"))
-        two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("ys"), F.col("counts").alias("yc"))
-        near = _similarity(weighted)("xs", "xc", "ys", "yc")
-        return pairs.join(one, "a").join(two, "b").withColumn("near", near).filter(F.col("near") >= similarity).select("a", "b")
-
-    stars = shared.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(verified(stars), "star-links")
+    buckets = members.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("last")).filter("least <> last")
+    shared = written(join_per_key(members, buckets.select("band"), ["band"], "left_semi").distinct(), "shared-bands")
+    sets = written(_shingle_sets(_one_text_each(docs, shared.select("node").distinct().join(nodes, "node")), weighted), "shingle-sets")
+
+    def with_sets(pairs: DataFrame) -> DataFrame:
+        one = sets.select(F.col("node").alias("a"), F.col("elements").alias("xs"))
+        two = sets.select(F.col("node").alias("b"), F.col("elements").alias("ys"))
+        return join_per_key(join_per_key(pairs, one, ["a"], "inner"), two, ["b"], "inner")
+
+    sized = with_sets(_stars(shared)).withColumns({"na": F.size("xs"), "nb": F.size("ys"), "c": _compared("xs", "ys")})
+    stars = written(sized.select("a", "b", "na", "nb", "c.*"), "stars")
+    links = stars.filter(F.col("near") >= similarity).select("a", "b")
     labels = connected_components(links)
-    apart = _pairs_across(shared, nodes, labels, 0.0 if weighted else similarity)
-    turned = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = written(verified(apart.join(turned, ["a", "b"], "left_anti")), "cross-links")
+    apart = _pairs_apart(stars, labels, similarity)
+    near = with_sets(apart).filter(_similarity("xs", "ys") >= similarity).select("a", "b")
+    more = written(near, "cross-links")
     if not more.isEmpty():
         labels = connected_components(links.unionByName(more))
     return _classes(signed, nodes, labels)
@@ -272,17 +284,45 @@ def _one_text_each(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.filter("i = 1").select("node", "text")
 
 
-def _pairs_across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, ratio: float) -> DataFrame:
-    """Pairs a < b of nodes of one band that lie in different components and whose sizes allow the similarity."""
-    labelled = join_per_key(shared.select("band", "node"), labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = written(labelled, "labelled")
-    split = labelled.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("g")).filter("l <> g").select("band")
-    parted = join_per_key(labelled, split, ["band"], "left_semi").join(nodes.select("node", "n"), "node")
-    parted = written(parted.select("band", "node", "label", "n"), "parted")
-    left, right = (parted.select("band", *[F.col(c).alias(c + s) for c in ("node", "label", "n")]) for s in "ab")
-    sizes = (F.col("na") >= ratio * F.col("nb")) & (F.col("nb") >= ratio * F.col("na"))
-    pairs = left.join(right, "band").filter((F.col("nodea") < F.col("nodeb")) & (F.col("labela") != F.col("labelb")) & sizes)
-    return pairs.select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
+def _stars(shared: DataFrame) -> DataFrame:
+    """a, b: in each band, the links of its most central node (a) to the others.
+
+    Central is the node whose bands hold the most nodes together: the text that others were made of, where there is one.
+    """
+    sizes = shared.groupBy("band").agg(F.count("*").alias("size"))
+    sized = join_per_key(shared, sizes, ["band"], "inner")
+    central = sized.groupBy("node").agg(F.sum("size").alias("reach"))
+    ranked = written(join_per_key(shared, central, ["node"], "inner"), "ranked-bands")
+    centres = ranked.groupBy("band").agg(F.max(F.struct("reach", "node")).alias("top")).select("band", F.col("top.node").alias("centre"))
+    met = join_per_key(ranked, centres, ["band"], "inner").filter("node <> centre")
+    return met.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _pairs_apart(stars: DataFrame, labels: DataFrame, t: float) -> DataFrame:
+    """Pairs a < b that may be similar, compared with one centre c, not both linked to it, in different components.
+
+    Let Dx and Dy be the sizes of the symmetric differences of x and y with c, S the size of what these have in common
+    and r = (1 - t) / (1 + t). Similarity t means that x and y differ in at most r (|x| + |y|) elements, that is
+    2 S >= Dx + Dy - r (|x| + |y|). If x is not linked to c, Dx > r (|x| + |c|), so 2 S > Dy + r (|c| - |y|); and as
+    Dx >= Dy - r (|x| + |y|) and |x| <= |y| / t, S >= Dy - (1 - t) / t |y|. Hence x shares with y one of the first
+    Dy - S + 1 differences of y in any fixed order. Differences are ordered with elements that c lacks first, which are
+    the rare ones among copies of c, and a pair is met only where enough differences can follow.
+    """
+    r = (1 - t) / (1 + t)
+    open_centres = stars.filter(F.col("near") < t).select("a").distinct()
+    around = join_per_key(stars, open_centres, ["a"], "left_semi").filter(F.size("diff") > 0)
+    around = join_per_key(around.withColumnRenamed("b", "node"), labels, ["node"], "left")
+    around = written(around.select("a", "node", F.coalesce("label", "node").alias("label"), "near", "na", F.col("nb").alias("n"),
+                                   F.size("diff").alias("d"), "diff"), "differences")
+    least = F.greatest(F.ceil((F.col("d") + r * (F.col("na") - F.col("n"))) / 2 - 1e-6), F.ceil(F.col("d") - (1 - t) / t * F.col("n") - 1e-6), F.lit(1))
+    first = F.slice("diff", F.lit(1), F.greatest(F.col("d") - least + 1, F.lit(0)).cast("int"))
+    x = around.filter(F.col("near") < t).select("a", *[F.col(c).alias(c + "x") for c in ("node", "label", "n", "d")], F.posexplode("diff").alias("ix", "e"))
+    y = around.select("a", *[F.col(c).alias(c + "y") for c in ("node", "label", "n", "d")], F.posexplode(first).alias("iy", "e"))
+    common = (F.col("dx") + F.col("dy") - r * (F.col("nx") + F.col("ny"))) / 2
+    enough = F.least(F.col("dx") - F.col("ix"), F.col("dy") - F.col("iy")) >= common - 1e-6
+    sizes = (F.col("nx") >= t * F.col("ny")) & (F.col("ny") >= t * F.col("nx"))
+    met = x.join(y, ["a", "e"]).filter((F.col("nodex") != F.col("nodey")) & (F.col("labelx") != F.col("labely")) & sizes & enough)
+    return met.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
 
 
 def _classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
