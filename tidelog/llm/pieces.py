@@ -119,17 +119,49 @@ class Segmenter:
         self.start = np.zeros(1024, dtype=np.int64)
         self.ids, self.used = np.zeros(8192, dtype=np.int32), 0
 
+    def _two_best(self, part: str) -> tuple[int, list[int], int]:
+        """Score and ids of the best segmentation, and what the second best costs more.
+
+        The second best leaves the best one at some position for the first time, and then goes on as well as it can.
+        """
+        n, byte_ids = len(part), self.vocabulary.byte_ids
+        onward: list = [0] * (n + 1)
+        edges: list = [()] * n
+        for start in range(n - 1, -1, -1):
+            out, node, end = [], self.trie.get(part[start]), start
+            if node is None or "" not in node:
+                ids = tuple(byte_ids[b] for b in part[start].encode("utf-8", "replace"))
+                score = self.vocabulary.byte_score * len(ids)
+                out.append((score + onward[start + 1], start + 1, ids))
+            while node is not None:
+                end += 1
+                if "" in node:
+                    score, ids = node[""]
+                    out.append((score + onward[end], end, ids))
+                node = node.get(part[end]) if end < n else None
+            if len(out) > 1:
+                out.sort(reverse=True)
+            edges[start] = out
+            onward[start] = out[0][0]
+        at, best, cost = 0, [], _NONE
+        while at < n:
+            out = edges[at]
+            if len(out) > 1 and out[0][0] - out[1][0] < cost:
+                cost = out[0][0] - out[1][0]
+            best += out[0][2]
+            at = out[0][1]
+        return onward[0], best, cost
+
     def _add(self, part: str) -> int:
-        found, row = self.best(part, 2), len(self.rows)
+        (score, ids, second), row = self._two_best(part), len(self.rows)
         if row == len(self.length):
             self.length, self.score, self.second, self.start = (
                 np.concatenate([a, np.zeros_like(a)]) for a in (self.length, self.score, self.second, self.start))
-        score, ids = found[0]
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used:self.used + len(ids)] = ids
         self.length[row], self.score[row], self.start[row] = len(ids), score, self.used
-        self.second[row] = score - found[1][0] if len(found) > 1 else _NONE
+        self.second[row] = second
         self.used += len(ids)
         return row
 
@@ -152,13 +184,18 @@ class Segmenter:
         few = np.argsort(costs, kind="stable")[:n - 1] if len(costs) <= 4 * n else np.sort(
             np.argpartition(costs, n - 1)[:n - 1])
         few = [int(i) for i in few if costs[i] < _NONE]
-        options = [self.best(parts[i], n) for i in few]
+        options = [self._options(parts[i], tuple(ids[offsets[i]:offsets[i] + lengths[i]].tolist()), n) for i in few]
         found = []
         for cost, picks in cheapest([[o[0][0] - s for s, _ in o] for o in options], n):
             changes = [(int(offsets[i]), int(lengths[i]), list(o[p][1])) for i, o, p in zip(few, options, picks) if p]
             found.append((score - cost, sorted(changes)))
         return ids, found
 
+    def _options(self, part: str, first: tuple[int, ...], n: int) -> list[tuple[int, tuple[int, ...]]]:
+        """The n best of a part, the known one first among equals."""
+        found = self.best(part, n)
+        return [(found[0][0], first), *[o for o in found if o[1] != first]][:n]
+
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
