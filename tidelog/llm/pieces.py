@@ -97,9 +97,9 @@ class Segmenter:
             forward[end] = max([forward[i] + s for i, s, _ in ends[end]])
         found: list = []
         last, number = len(part), 0
-        heap = [(-forward[last], 0, last, 0, None)]
+        heap = [(-forward[last], last, 0, 0, None)]  # among equals what lies nearest to the start goes on, the latest first
         while heap and len(found) < n:
-            _, _, at, score, chain = heapq.heappop(heap)
+            _, at, _, score, chain = heapq.heappop(heap)
             if at == 0:
                 ids: list[int] = []
                 while chain is not None:
@@ -108,8 +108,8 @@ class Segmenter:
                 found.append((score, tuple(ids)))
                 continue
             for start, s, ids_here in ends[at]:
-                number += 1
-                heapq.heappush(heap, (-(forward[start] + score + s), number, start, score + s, (ids_here, chain)))
+                number -= 1
+                heapq.heappush(heap, (-(forward[start] + score + s), start, number, score + s, (ids_here, chain)))
         return found
 
     # What is known of parts: number of its row, and per row length, score, cost of the second best, ids.
