@@ -70,7 +70,7 @@ def test_merge_on_read_properties():
 def test_scalar_functions(spark):
     from pyspark.sql import functions as F
     rows = spark.createDataFrame([(None,), ("",), ("one ",), ("one, two",), ("bucket(id, 4), type",), ("a,,",)], "s string")
-    assert [r[0] for r in rows.select(text.split_trimmed(F.col("s"), text.COMMA_OUTSIDE_PARENS)).collect()] == [
+    assert [r[0] for r in rows.select(text.split_trimmed(F.col("s"), nested=True)).collect()] == [
         [], [], ["one"], ["one", "two"], ["bucket(id, 4)", "type"], ["a"]]
     stamps = spark.createDataFrame([("16/05/2026-12:15",), ("2026-04-19T15:00:00Z",), ("soon",)], "s string")
     found = stamps.select(times.to_epoch_ms(times.parse_update_time(F.col("s"))).alias("ms")).collect()

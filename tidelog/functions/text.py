@@ -5,16 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-COMMA = ","
-# A comma that is not inside a parenthesis pair, as in "bucket(id, 4), type".
-COMMA_OUTSIDE_PARENS = r",(?![^()]*\))"
 EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 
-def split_trimmed(text: Column, separator: str = COMMA) -> Column:
-    """Split and trim each part. Null and empty text give an empty list, trailing empty parts are dropped."""
+def _depth(text: Column) -> Column:
+    """How many parentheses are open behind the text."""
+    opened, closed = (F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit(""))) for mark in "()")
+    return opened - closed
+
+
+def split_trimmed(text: Column, nested: bool = False) -> Column:
+    """Split at commas and trim each part. Null and empty text give an empty list, trailing empty parts are dropped.
+
+    With ``nested`` a comma inside parentheses, as in "bucket(id, 4), type", separates nothing.
+    """
     body = F.regexp_replace(text, r",+$", "")
-    parts = F.transform(F.split(body, separator), lambda part: F.regexp_replace(part, EDGE_BLANKS, ""))
+    pieces = F.split(body, ",")
+    if nested:
+        pieces = F.aggregate(
+            pieces, F.array().cast("array<string>"),
+            lambda done, piece: F.when(
+                (F.size(done) > 0) & (_depth(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(""))) > 0),
+                F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))),
+                         F.array(F.concat(F.try_element_at(done, F.lit(-1)), F.lit(","), piece)))
+            ).otherwise(F.concat(done, F.array(piece))))
+    parts = F.transform(pieces, lambda part: F.regexp_replace(part, EDGE_BLANKS, ""))
     return F.when(body.isNull() | (body == ""), F.array().cast("array<string>")).otherwise(parts)
 
 
