@@ -1,18 +1,18 @@
 import pytest
 
 from tests.helpers import PROPERTIES, options
-from tidelog.options import COMMA_OUTSIDE_PARENS, IngestOptions, parse_topic_map, split_list
+from tidelog.options import IngestOptions, parse_topic_map, split_list
 from tidelog.sources.topics import kafka_options
 
 
-@pytest.mark.parametrize("text, separator, parts", [
-    (None, ",", []), ("", ",", []), ("one ", ",", ["one"]), ("one, two", ",", ["one", "two"]),
-    ("bucket(id, 4)", COMMA_OUTSIDE_PARENS, ["bucket(id, 4)"]),
-    ("bucket(id, 4), type", COMMA_OUTSIDE_PARENS, ["bucket(id, 4)", "type"]),
-    ("a,,", ",", ["a"]), (",a", ",", ["", "a"]),
+@pytest.mark.parametrize("text, nested, parts", [
+    (None, False, []), ("", False, []), ("one ", False, ["one"]), ("one, two", False, ["one", "two"]),
+    ("bucket(id, 4)", True, ["bucket(id, 4)"]),
+    ("bucket(id, 4), type", True, ["bucket(id, 4)", "type"]),
+    ("f(a, g(b, c)), d", True, ["f(a, g(b, c))", "d"]), ("a,,", False, ["a"]), (",a", False, ["", "a"]),
 ])
-def test_split_list(text, separator, parts):
-    assert split_list(text, separator) == parts
+def test_split_list(text, nested, parts):
+    assert split_list(text, nested=nested) == parts
 
 
 def test_topic_map():
@@ -60,9 +60,15 @@ def test_table_options_fall_back_to_defaults():
     assert found.catalog_properties == {"type": "hive"}
 
 
-@pytest.mark.parametrize("start, offsets, strict", [
-    ("earliest", "earliest", "false"), ("latest", "latest", "false"), ("none", "earliest", "true")])
-def test_start_position(start, offsets, strict):
+def test_start_position_none_needs_offsets():
+    none = options(**{"consumer.override.auto.offset.reset": "none"})
+    with pytest.raises(ValueError):
+        kafka_options("broker:9092", none)
+    assert kafka_options("broker:9092", none, offsets='{"t":{"0":7}}')["startingOffsets"] == '{"t":{"0":7}}'
+
+
+@pytest.mark.parametrize("start", ["earliest", "latest"])
+def test_start_position(start):
     chosen = kafka_options("broker:9092", options(**{"consumer.override.auto.offset.reset": start}), 1000)
-    assert chosen["startingOffsets"] == offsets and chosen["failOnDataLoss"] == strict
+    assert chosen["startingOffsets"] == start and chosen["failOnDataLoss"] == "true"
     assert chosen["subscribe"] == "qtmt-tramquantrac" and chosen["maxOffsetsPerTrigger"] == "1000"

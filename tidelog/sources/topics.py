@@ -11,14 +11,21 @@ from tidelog.options import IngestOptions
 from tidelog.schemas import TOPIC_RECORD
 
 
-def kafka_options(servers: str, options: IngestOptions, max_records: int | None = None) -> dict[str, str]:
-    """Reader options for a list of topics. A checkpoint, once there, wins over the start position."""
-    none = options.start_position == "none"
+def kafka_options(
+    servers: str, options: IngestOptions, max_records: int | None = None, offsets: str | None = None
+) -> dict[str, str]:
+    """Reader options for a list of topics. A checkpoint, once there, wins over the start position.
+
+    ``none`` asks for offsets that are already committed: pass them as ``offsets`` (Kafka's JSON), else it is refused.
+    Offsets that are no longer there stop the query, whatever the start position.
+    """
+    if options.start_position == "none" and offsets is None:
+        raise ValueError("start position none needs committed offsets")
     chosen = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(options.topics),
-        "startingOffsets": "earliest" if none else options.start_position,
-        "failOnDataLoss": str(none).lower(),
+        "startingOffsets": offsets or options.start_position,
+        "failOnDataLoss": "true",
         **{f"kafka.{name}": value for name, value in options.kafka_properties.items()},
     }
     if max_records is not None:
@@ -27,16 +34,16 @@ def kafka_options(servers: str, options: IngestOptions, max_records: int | None
 
 
 def kafka_stream(
-    spark: SparkSession, servers: str, options: IngestOptions, max_records: int | None = None
+    spark: SparkSession, servers: str, options: IngestOptions, max_records: int | None = None, offsets: str | None = None
 ) -> DataFrame:
     """Needs the Kafka connector on the class path; untested here, where it is not installed."""
-    reader = spark.readStream.format("kafka").options(**kafka_options(servers, options, max_records))
+    reader = spark.readStream.format("kafka").options(**kafka_options(servers, options, max_records, offsets))
     return as_records(reader.load())
 
 
 def kafka_batch(spark: SparkSession, servers: str, options: IngestOptions) -> DataFrame:
     """Full replay from the start of the topics."""
-    chosen = {**kafka_options(servers, options), "startingOffsets": "earliest"}
+    chosen = {**kafka_options(servers, options, offsets="earliest"), "startingOffsets": "earliest"}
     return as_records(spark.read.format("kafka").options(**chosen).load())
 
 
