@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KEY_SEPARATOR = "||"
+BLANKS = " \t\r\n"  # white space around JSON values
 
 
 def _path(name: str) -> str:
@@ -40,6 +41,16 @@ def item_list(doc: Column, name: str = "data") -> Column:
     return F.try_variant_get(doc, _path(name), "array<variant>")
 
 
+def holds_list(text: Column, data: Column, name: str = "data") -> Column:
+    """Whether the field is a JSON array and not a text that looks like one. ``data`` is the field's JSON text.
+
+    The document is decoded once more only where the field's name is followed by a quotation mark somewhere.
+    """
+    kept_as_text = text.rlike(rf'"{name}"\s*:\s*"')
+    real = F.coalesce(F.schema_of_variant(F.try_variant_get(decode(text), _path(name), "variant")).startswith("ARRAY"), F.lit(False))
+    return F.ltrim(data, F.lit(BLANKS)).startswith("[") & (~kept_as_text | real)
+
+
 def key_objects(data: Column) -> Column:
     """Objects of a JSON array text as maps; null where an item is no object or ``data`` no array."""
     return F.from_json(data, "array<map<string,string>>")
@@ -52,10 +63,11 @@ def key_values(objects: Column, data: Column, key_field: Column) -> Column:
     """
     values = F.when(
         objects.isNull() | F.exists(objects, lambda item: item.isNull()),
-        # Arrays with other items in them do not fit the map type; they take the slower typed route.
-        F.transform(
-            F.filter(F.try_parse_json(data).try_cast("array<variant>"), is_object),
-            lambda item: F.try_element_at(item.cast("map<string,variant>"), key_field).cast("string"),
+        # Arrays with other items in them do not fit the map type; their objects are read one by one, as maps too, so
+        # that a key value is written alike on both routes.
+        F.zip_with(
+            F.try_parse_json(data).try_cast("array<variant>"), F.from_json(data, "array<string>"),
+            lambda doc, text: F.when(is_object(doc), F.try_element_at(F.from_json(text, "map<string,string>"), key_field)),
         ),
     ).otherwise(F.transform(objects, lambda item: F.try_element_at(item, key_field)))
     return F.array_sort(F.array_compact(values))

@@ -71,14 +71,14 @@ def _once(rows: DataFrame, value: Column) -> DataFrame:
 
 def _read_fields(records: DataFrame) -> DataFrame:
     """Envelope fields beside the lineage columns, and ``_fault`` for text that holds no object."""
-    text = F.ltrim(F.col("value"))
+    text = F.ltrim(F.col("value"), F.lit(J.BLANKS))
     source = drop_tombstones(records).select(*LINEAGE_COLUMNS, "value")
     read = _once(source, J.envelope(F.col("value")))
     fault = F.when(
         F.col("_corrupt_record").isNotNull() & J.decode(F.col("value")).isNull(), MALFORMED
     ).when(~text.startswith("{"), NOT_OBJECT)
     return read.select(
-        *LINEAGE_COLUMNS, record_id().alias("id"), "data", "key", "type", "version", "ngay_cap_nhat", "length",
+        *LINEAGE_COLUMNS, record_id().alias("id"), F.when(J.holds_list(F.col("value"), F.col("data")), F.col("data")).alias("data"), "key", "type", "version", "ngay_cap_nhat", "length",
         fault.alias("_fault"),
     )
 
