@@ -35,7 +35,7 @@ def new_rows(changes: DataFrame, op: str = "_cdc_op") -> DataFrame:
 
 
 def remove_keys(target: DataFrame, keys: DataFrame, id_columns: Sequence[str]) -> DataFrame:
-    return join_per_key(target, keys, list(id_columns), "left_anti")
+    return join_per_key(target, keys, list(id_columns), "left_anti", null_safe=True)
 
 
 def copy_on_write(
@@ -81,7 +81,7 @@ def merge_on_read(
         return newest.select(*id_columns, "_row.*").where(F.col(op) != "D").select(*changelog.columns)
     last = last_replacement(changelog, id_columns, insert_mode, op, order)
     current: Column = F.col("_last").isNull() | (F.struct(*order) >= F.col("_last"))
-    joined = join_per_key(new_rows(changelog, op), last, list(id_columns), "left")
+    joined = join_per_key(new_rows(changelog, op), last, list(id_columns), "left", null_safe=True)
     return joined.where(current).select(*changelog.columns)
 
 

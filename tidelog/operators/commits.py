@@ -16,6 +16,8 @@ from tidelog.functions.times import to_epoch_ms
 from tidelog.options import IngestOptions
 
 APPEND, OVERWRITE = "append", "overwrite"
+# How rows change tables: every row is added, changes by operation, or changes whose inserts replace too.
+APPEND_ONLY, CHANGES, UPSERT = "append-only", "changes", "upsert"
 
 
 def source_offsets(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -64,11 +66,24 @@ def _assigned_per_commit(offsets: DataFrame, assigned: DataFrame, by: Sequence[s
     return commits.join(places, "_all").select(*by, F.inline("_places"))
 
 
-def table_changes(changelog: DataFrame, by: Sequence[str] = ("iceberg_table", "commit_seq")) -> DataFrame:
-    """Per table and commit: rows added, keys removed, and the operation this makes it."""
+def mode_of(options: IngestOptions) -> str:
+    if options.upsert:
+        return UPSERT
+    return CHANGES if options.cdc_field is not None else APPEND_ONLY
+
+
+def table_changes(
+    changelog: DataFrame, by: Sequence[str] = ("iceberg_table", "commit_seq"), mode: str = CHANGES
+) -> DataFrame:
+    """Per table and commit: rows added, keys removed, and the operation this makes it.
+
+    Without a change field every row is added and none removed; with upsert an insert removes its key first.
+    """
+    operation = F.col("_cdc_op")
+    added = F.lit(True) if mode == APPEND_ONLY else operation.isin("I", "U")
+    removing = {APPEND_ONLY: F.lit(False), CHANGES: operation.isin("U", "D"), UPSERT: operation.isin("I", "U", "D")}
     counted = changelog.groupBy(*by).agg(
-        F.count_if(F.col("_cdc_op").isin("I", "U")).alias("added_records"),
-        F.count_if(F.col("_cdc_op").isin("U", "D")).alias("removed_keys"),
+        F.count_if(added).alias("added_records"), F.count_if(removing[mode]).alias("removed_keys")
     )
     return counted.withColumn("operation", F.when(F.col("removed_keys") > 0, OVERWRITE).otherwise(APPEND))
 

@@ -11,7 +11,9 @@ SALTS = 4
 BROADCAST_ROWS = 100_000
 
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def join_per_key(
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str, null_safe: bool = False
+) -> DataFrame:
     """``left``, ``left_semi`` or ``left_anti`` join of rows with an aggregate that has one row per key.
 
     Rows of a key are dealt out to a few salts, and the small aggregate rows are repeated for each. Apart
@@ -22,6 +24,12 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how:
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*_spread_columns(rows, keys)), F.lit(SALTS)).cast("int"))
     salts = F.array(*[F.lit(n) for n in range(SALTS)])
     repeated = per_key.withColumn("_salt", F.explode(salts))
+    if null_safe:  # null keys meet, as they do in groups
+        other = repeated.withColumnsRenamed({name: f"_k{i}" for i, name in enumerate(keys)} | {"_salt": "_salt2"})
+        same = F.col("_salt") == F.col("_salt2")
+        for i, name in enumerate(keys):
+            same = same & F.col(name).eqNullSafe(F.col(f"_k{i}"))
+        return dealt.join(other, same, how).drop("_salt", "_salt2", *[f"_k{i}" for i in range(len(keys))])
     return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
