@@ -22,6 +22,7 @@ a key with a third of all rows is spread over as many groups as it has chunks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,7 +153,10 @@ def version_states(
         )
         # Every group has its match. The left join only keeps "not null" filters, which an inner join adds
         # to one branch, from making the branches differ and the input being read again.
-        top = levels[level].join(entering, by, "left")
+        # Leading columns may be null (a record without a partition), and a null is a group like any other.
+        renamed = entering.select(*[F.col(name).alias(f"_e{i}") for i, name in enumerate(by)], "entering")
+        same = reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"_e{i}")) for i, name in enumerate(by)])
+        top = levels[level].join(renamed, same, "left").drop(*[f"_e{i}" for i in range(len(by))])
 
     step_version, before = F.col("steps.m"), F.col("before")
     return _with_states(top, "_key").select(
@@ -187,6 +191,17 @@ def latest_states(
     )
 
 
+def changed_states(accepted: DataFrame, scope: Sequence[str] = ("topic",), key: str = "dedup_key",
+                   order: Sequence[str] = ("partition", "offset")) -> DataFrame:
+    """The state of every key that a batch touched; a null version where its last accepted row is a DELETE.
+
+    Rows without key or version passed the filter unseen and leave no state.
+    """
+    keys, seen = [*scope, key], accepted.where(F.col(key).isNotNull() & F.col("version").isNotNull())
+    last = F.max_by(F.struct(F.when(~is_delete(F.col("type")), F.col("version")).alias("version")), F.struct(*order))
+    return seen.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.version")
+
+
 # --- classification against an existing table ------------------------------------------------
 
 INSERT, UPDATE, DELETE, SKIP, ERROR = "INSERT", "UPDATE", "DELETE", "SKIP", "ERROR"

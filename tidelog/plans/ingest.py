@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tidelog.functions import summary as S
 from tidelog.operators import commits, envelope, route, versions
@@ -90,7 +91,8 @@ def _write_metadata(store, seq, options, tombstones, assigned) -> None:
     if tombstones is not None:
         read = read.unionByName(tombstones.select(*read.columns))
     vectors = commits.commit_vectors(read.withColumn("commit_seq", F.lit(seq).cast("bigint")), assigned=assigned)
-    changes = commits.skip_empty(commits.table_changes(written.where(F.col("fate") == APPLIED)))
+    applied = written.where(F.col("fate") == APPLIED)
+    changes = commits.skip_empty(commits.table_changes(applied, mode=commits.mode_of(options)))
     before = store.heads_before(seq)
     previous = before.select(
         F.col("table").alias("iceberg_table"), F.col("snapshot_id").alias("parent_id"),
@@ -129,10 +131,22 @@ def ingest_batch(
 ) -> bool:
     """Records to a commit. The filter states come from the store: the last accepted version per key.
 
-    Runs on the JVM alone and keeps no state outside the changelog, so a repeated batch gives the same rows.
+    States are those of all accepted rows, before user steps, routing and quarantine, so the result does not depend on
+    how a stream is cut into batches. Runs on the JVM alone; a repeated batch gives the same rows.
     """
     if store.committed(seq):
         return False
-    initial = versions.latest_states(store.history(), scope, order=("commit_seq", "partition", "offset"))
-    accepted = transform(records, options, scope, initial, chunk_bits or versions.chunk_levels(records))
-    return commit(store, accepted, seq, options, tombstones=records.where(F.col("value").isNull()), **how)
+    accepted = transform(records, options, scope, filter_states(store, scope), chunk_bits or versions.chunk_levels(records))
+    held = accepted.persist(StorageLevel.MEMORY_AND_DISK)  # states and rows come from one run of the filter
+    try:
+        store.write_states(seq, versions.changed_states(held, scope))
+        return commit(store, held, seq, options, tombstones=records.where(F.col("value").isNull()), **how)
+    finally:
+        held.unpersist()
+
+
+def filter_states(store: ChangelogStore, scope: Sequence[str] = ("topic",)) -> DataFrame:
+    """States in front of the next batch. A store from before states were kept gives those of its rows."""
+    if store.has_states():
+        return store.states(scope)
+    return versions.latest_states(store.history(), scope, order=("commit_seq", "partition", "offset"))

@@ -8,14 +8,19 @@ Layout below the root folder:
     snapshots/commit_seq=N/                   one row per table the commit changed
     heads/commit_seq=N/                       newest snapshot of every table as of commit N
     cycles/commit_seq=N/                      one row, written last: it makes commit N visible
+    states/commit_seq=N/                      filter states that commit N changed (null version: state gone)
     base/through=N/                           current rows up to commit N, from a compaction
+    state_base/through=N/                     filter states up to commit N, from a compaction
+    claims/N, numbers/<source>/<batch>/seq=N  commit numbers given out, and to which batch of which query
 
 A commit owns its folders, so doing it again overwrites exactly what the first attempt left.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +43,7 @@ SNAPSHOT_SCHEMA = (
 HEAD_SCHEMA = "table string, snapshot_id bigint, total_records bigint, commit_seq bigint"
 CYCLE_SCHEMA = "commit_id string, watermark_ms bigint, offsets string, commit_seq bigint"
 BASE_SCHEMA = CHANGELOG_SCHEMA + ", through bigint"
+STATE_SCHEMA = "dedup_key string, version bigint"
 
 
 @dataclass(frozen=True)
@@ -66,6 +72,50 @@ class ChangelogStore:
     def committed(self, seq: int) -> bool:
         return self._exists(f"{self.folder('cycles', seq)}/_SUCCESS")
 
+    def number_for(self, source: str, batch: int) -> int:
+        """Commit number of a batch of a query: the one it was given before, else the next free one.
+
+        A number is claimed by creating a file that nobody else has created, so several queries may share a store, and
+        a query that starts anew from batch 0 gets numbers of its own. A crash after the claim leaves a gap.
+        """
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        own = self.folder("numbers") + f"/{source}/{batch}"
+        given = self._numbers(own, "seq")
+        if given:
+            return min(given)
+        files = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        claims = self.folder("claims")
+        files.mkdirs(path(claims))
+        taken = [int(e.getPath().getName()) for e in files.listStatus(path(claims)) if e.getPath().getName().isdigit()]
+        seq = max([*taken, *self._numbers(self.folder("cycles"), "commit_seq")], default=-1) + 1
+        while not files.createNewFile(path(f"{claims}/{seq}")):
+            seq += 1
+        files.mkdirs(path(f"{own}/seq={seq}"))
+        return seq
+
+    def write_states(self, seq: int, states: DataFrame) -> None:
+        states.write.mode("overwrite").parquet(self.folder("states", seq))
+
+    def states(self, scope: Sequence[str] = ("topic",)) -> DataFrame:
+        """Filter states after all commits: scope columns, dedup_key, version. They don't depend on what became of rows."""
+        keys = [*scope, "dedup_key"]
+        scoped = "".join(f"{name} string, " for name in scope) + STATE_SCHEMA
+        deltas = self._visible(self._read("states", scoped + ", commit_seq bigint"))
+        through = self._state_through()
+        if through is not None:
+            base = self._read("state_base", scoped + ", through bigint").where(F.col("through") == through)
+            deltas = deltas.where(F.col("commit_seq") > through).unionByName(base.withColumnRenamed("through", "commit_seq"))
+        newest = deltas.groupBy(*keys).agg(F.max_by(F.struct("version"), "commit_seq").alias("_last"))
+        return newest.select(*keys, "_last.version").where(F.col("version").isNotNull())
+
+    def has_states(self) -> bool:
+        return self._exists(self.folder("states")) or self._exists(self.folder("state_base"))
+
+    def _state_through(self) -> int | None:
+        folder = self.folder("state_base")
+        ends = self._numbers(folder, "through")
+        return max((n for n in ends if self._exists(f"{folder}/through={n}/_SUCCESS")), default=None)
+
     def cycles(self) -> DataFrame:
         return self._read("cycles", CYCLE_SCHEMA)
 
@@ -137,19 +187,33 @@ class ChangelogStore:
         self, options: IngestOptions, table: str | None = None, as_of: int | None = None
     ) -> DataFrame:
         """Current rows of one table or of all, after the commit ``as_of`` if given (time travel)."""
-        mode = apply.UPSERT if options.upsert else apply.APPEND
-        ids = options.for_table(table).id_columns if table else options.default_id_columns
-        keys = ["iceberg_table", *(ids or ("dedup_key",))]
         history = self.history(table, as_of)
         if options.cdc_field is None and not options.upsert:
             return history
-        return apply.merge_on_read(history, keys, mode)
-
-    def compact(self, options: IngestOptions) -> int | None:
-        """Writes the current rows as a new base. The commits stay readable for time travel."""
+        mode = apply.UPSERT if options.upsert else apply.APPEND
+        default = tuple(options.default_id_columns or ("dedup_key",))
+        if table is not None:
+            groups = {tuple(options.for_table(table).id_columns or default): None}
+        else:  # tables with the same id columns are merged together, all others apart
+            groups = {default: []}
+            for name in options.table_options:
+                groups.setdefault(tuple(options.for_table(name).id_columns or default), []).append(name)
+        others = [name for ids, names in groups.items() if ids != default for name in names or ()]
+        merged = []
+        for ids, names in groups.items():
+            rows = history
+            if names is not None:
+                rows = history.where(~F.col("iceberg_table").isin(others) if ids == default else F.col("iceberg_table").isin(names))
+            merged.append(apply.merge_on_read(rows, ["iceberg_table", *ids], mode))
+        return reduce(DataFrame.unionByName, merged)
+
+    def compact(self, options: IngestOptions, scope: Sequence[str] = ("topic",)) -> int | None:
+        """Writes the current rows, and the filter states, as a new base. Commits stay readable for time travel."""
         last = self.cycles().agg(F.max("commit_seq")).first()[0]
         if last is None or last == self.base_through():
             return self.base_through()
+        if self.has_states():
+            self.states(scope).write.mode("overwrite").parquet(self.folder("state_base", last, "through"))
         rows = self.current(options).hint("rebalance", "iceberg_table")
         rows.write.mode("overwrite").partitionBy("iceberg_table").parquet(self.folder("base", last, "through"))
         return last

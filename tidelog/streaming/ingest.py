@@ -34,7 +34,8 @@ def start_ingest(
     chunk_bits: Sequence[int] = versions.DEFAULT_CHUNK_BITS,
     **how,
 ) -> StreamingQuery:
-    """Starts the query. The micro-batch id is the commit number, so a replayed batch is the same commit.
+    """Starts the query. A commit belongs to a batch of a query: a replayed batch is the same commit, and a
+    query with a new checkpoint adds commits of its own to the store.
 
     ``state="state store"``: filter states live in the query's state store, so a batch costs what its own
     rows cost; the record limit of the trigger (``maxOffsetsPerTrigger``) bounds what one key can bring.
@@ -49,7 +50,9 @@ def start_ingest(
         source = stateful_filter(parsed, scope, ttl_ms=ttl_ms)
 
         def each(batch: DataFrame, batch_id: int) -> None:
-            ingest.commit(store, batch, batch_id, options, **how)
+            if not ingest.commit(store, batch, store.number_for(_query_id(batch), batch_id), options, **how):
+                # Replayed after its commit: it is read all the same, or its states would not be kept.
+                batch.write.format("noop").mode("overwrite").save()
     elif state == CHANGELOG:
         source = records
 
@@ -57,7 +60,7 @@ def start_ingest(
             # Filter, tombstone offsets and retries inside the commit read the batch; the source is asked once.
             held = batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                ingest.ingest_batch(store, held, batch_id, options, scope, chunk_bits, **how)
+                ingest.ingest_batch(store, held, store.number_for(_query_id(batch), batch_id), options, scope, chunk_bits, **how)
             finally:
                 held.unpersist()
     else:
@@ -66,6 +69,11 @@ def start_ingest(
     return writer.trigger(**(trigger or commit_trigger(options))).start()
 
 
+def _query_id(batch: DataFrame) -> str:
+    """Id of the running query; it is kept in the checkpoint and so the same after a restart."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def progress_rates(query: StreamingQuery) -> list[dict]:
     """Rows per second of the recent micro-batches."""
     return [

@@ -72,6 +72,12 @@ def stateful_filter(
     )
 
 
-def drop_redelivered(rows: DataFrame, event_time: str = "timestamp", within: str = "10 minutes") -> DataFrame:
-    """Drops repeated ids that arrive within the given time of each other."""
+def drop_redelivered(rows: DataFrame, event_time: str = "timestamp", within: str | None = None) -> DataFrame:
+    """Drops repeated ids. All ids are kept as state, and no row is dropped for being late.
+
+    ``within`` bounds the state to ids that arrive within that time of each other, at a price: rows later than that
+    behind the newest event time are dropped, repeated or not.
+    """
+    if within is None:
+        return rows.dropDuplicates(["id"])
     return rows.withWatermark(event_time, within).dropDuplicatesWithinWatermark(["id"])
