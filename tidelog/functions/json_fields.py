@@ -41,14 +41,14 @@ def item_list(doc: Column, name: str = "data") -> Column:
     return F.try_variant_get(doc, _path(name), "array<variant>")
 
 
-def holds_list(text: Column, data: Column, name: str = "data") -> Column:
-    """Whether the field is a JSON array and not a text that looks like one. ``data`` is the field's JSON text.
+def is_text_of_list(text: Column, data: Column, name: str = "data") -> Column:
+    """Whether the field is a JSON text that looks like an array. ``data`` is what the field holds.
 
     The document is decoded once more only where the field's name is followed by a quotation mark somewhere.
     """
     kept_as_text = text.rlike(rf'"{name}"\s*:\s*"')
-    real = F.coalesce(F.schema_of_variant(F.try_variant_get(decode(text), _path(name), "variant")).startswith("ARRAY"), F.lit(False))
-    return F.ltrim(data, F.lit(BLANKS)).startswith("[") & (~kept_as_text | real)
+    kind_word = F.schema_of_variant(F.try_variant_get(decode(text), _path(name), "variant"))
+    return F.ltrim(data, F.lit(BLANKS)).startswith("[") & kept_as_text & F.coalesce(kind_word == "STRING", F.lit(False))
 
 
 def key_objects(data: Column) -> Column:

@@ -22,6 +22,11 @@ def _replacing(insert_mode: str) -> list[str]:
     return ["U", "D"] if insert_mode == APPEND else ["I", "U", "D"]
 
 
+def _nullable(id_columns: Sequence[str]) -> list[str]:
+    """Id columns that may be null; rows of tables always have a table and a key."""
+    return [name for name in id_columns if name not in ("iceberg_table", "dedup_key")]
+
+
 def delete_keys(
     changes: DataFrame, id_columns: Sequence[str], insert_mode: str = APPEND, op: str = "_cdc_op"
 ) -> DataFrame:
@@ -35,7 +40,7 @@ def new_rows(changes: DataFrame, op: str = "_cdc_op") -> DataFrame:
 
 
 def remove_keys(target: DataFrame, keys: DataFrame, id_columns: Sequence[str]) -> DataFrame:
-    return join_per_key(target, keys, list(id_columns), "left_anti", null_safe=True)
+    return join_per_key(target, keys, list(id_columns), "left_anti", _nullable(id_columns))
 
 
 def copy_on_write(
@@ -81,7 +86,7 @@ def merge_on_read(
         return newest.select(*id_columns, "_row.*").where(F.col(op) != "D").select(*changelog.columns)
     last = last_replacement(changelog, id_columns, insert_mode, op, order)
     current: Column = F.col("_last").isNull() | (F.struct(*order) >= F.col("_last"))
-    joined = join_per_key(new_rows(changelog, op), last, list(id_columns), "left", null_safe=True)
+    joined = join_per_key(new_rows(changelog, op), last, list(id_columns), "left", _nullable(id_columns))
     return joined.where(current).select(*changelog.columns)
 
 

@@ -78,7 +78,7 @@ def _read_fields(records: DataFrame) -> DataFrame:
         F.col("_corrupt_record").isNotNull() & J.decode(F.col("value")).isNull(), MALFORMED
     ).when(~text.startswith("{"), NOT_OBJECT)
     return read.select(
-        *LINEAGE_COLUMNS, record_id().alias("id"), F.when(J.holds_list(F.col("value"), F.col("data")), F.col("data")).alias("data"), "key", "type", "version", "ngay_cap_nhat", "length",
+        *LINEAGE_COLUMNS, record_id().alias("id"), F.when(~F.coalesce(J.is_text_of_list(F.col("value"), F.col("data")), F.lit(False)), F.col("data")).alias("data"), "key", "type", "version", "ngay_cap_nhat", "length",
         fault.alias("_fault"),
     )
 

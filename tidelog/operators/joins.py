@@ -12,7 +12,7 @@ BROADCAST_ROWS = 100_000
 
 
 def join_per_key(
-    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str, null_safe: bool = False
+    rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str, null_safe: Sequence[str] = ()
 ) -> DataFrame:
     """``left``, ``left_semi`` or ``left_anti`` join of rows with an aggregate that has one row per key.
 
@@ -24,11 +24,12 @@ def join_per_key(
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*_spread_columns(rows, keys)), F.lit(SALTS)).cast("int"))
     salts = F.array(*[F.lit(n) for n in range(SALTS)])
     repeated = per_key.withColumn("_salt", F.explode(salts))
-    if null_safe:  # null keys meet, as they do in groups
+    if null_safe:  # nulls in these columns meet, as they do in groups; the others let filters reach both sides
         other = repeated.withColumnsRenamed({name: f"_k{i}" for i, name in enumerate(keys)} | {"_salt": "_salt2"})
         same = F.col("_salt") == F.col("_salt2")
         for i, name in enumerate(keys):
-            same = same & F.col(name).eqNullSafe(F.col(f"_k{i}"))
+            other_key = F.col(f"_k{i}")
+            same = same & (F.col(name).eqNullSafe(other_key) if name in null_safe else F.col(name) == other_key)
         return dealt.join(other, same, how).drop("_salt", "_salt2", *[f"_k{i}" for i in range(len(keys))])
     return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
