@@ -9,15 +9,15 @@ from tidelog.schemas import TOPIC_RECORD
 START = datetime.datetime(2026, 5, 16, 12, 0, 0)
 PROPERTIES = {
     "name": "sink-stations",
-    "topics": "qtmt-tramquantrac",
+    "topics": "plant-stations",
     "iceberg.tables.dynamic-enabled": "true",
     "iceberg.tables.route-field": "iceberg_table",
     "iceberg.tables.default-id-columns": "dedup_key",
     "iceberg.tables.cdc-field": "_cdc_op",
     "iceberg.catalog.type": "hive",
-    "transforms.customCdc.topic.table.map": "qtmt-tramquantrac:def.abc",
+    "transforms.customCdc.topic.table.map": "plant-stations:def.abc",
 }
-# The nine messages of the reference's end-to-end case in three batches, and the rows they leave.
+# Nine messages in three batches, and the rows they leave.
 GOLDEN = [
     [((1, 2), "INSERT", 1), ((3,), "INSERT", 1), ((5, 6), "INSERT", 1)],
     [((1, 2), "UPDATE", 2), ((3,), "DELETE", 2), ((5, 6), "UPDATE", 2)],
@@ -43,7 +43,7 @@ def message(stations, change_type, version, **more) -> str:
     return json.dumps({k: v for k, v in body.items() if v is not ...}, ensure_ascii=False)
 
 
-def records(spark, values, topic="qtmt-tramquantrac", first=0, partition=0):
+def records(spark, values, topic="plant-stations", first=0, partition=0):
     rows = [(topic, partition, first + i, START + datetime.timedelta(seconds=first + i), None, value)
             for i, value in enumerate(values)]
     return spark.createDataFrame(rows, TOPIC_RECORD)

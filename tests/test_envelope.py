@@ -15,9 +15,9 @@ def parse(spark, *values, legacy=False):
 
 def test_ten_fields(spark):
     row = parse(spark, message((2, 1), "insert", 7))[0]
-    assert row.id == "qtmt-tramquantrac-0-0" and row.dedup_key == "TRAM001||TRAM002"
+    assert row.id == "plant-stations-0-0" and row.dedup_key == "TRAM001||TRAM002"
     assert (row.version, row.type, row.key, row.length) == (7, "insert", "MaTram", "2")
-    assert (row.ngay_cap_nhat, row.iceberg_table, row._cdc_op) == ("16/05/2026-12:00", "default.qtmt_tramquantrac", "I")
+    assert (row.ngay_cap_nhat, row.iceberg_table, row._cdc_op) == ("16/05/2026-12:00", "default.plant_stations", "I")
     assert json.loads(row.record) == json.loads(message((2, 1), "insert", 7))["data"]
     assert row.error is None
 
@@ -97,7 +97,7 @@ def test_legacy_bad_messages(spark, value, error):
 
 def test_legacy_rows(spark):
     full, empty = parse(spark, message((1,), "INSERT", "12", length="4"), message((1,), "INSERT", 1, data=[]), legacy=True)
-    assert (full.dedup_key, full.version, full.length) == ("qtmt-tramquantrac:MaTram", 12, 4)
+    assert (full.dedup_key, full.version, full.length) == ("plant-stations:MaTram", 12, 4)
     assert (empty.record, empty.length, empty.error) == ("[]", 0, None)
 
 
@@ -105,7 +105,7 @@ def test_error_policies(spark):
     rows = E.parse_envelopes(records(spark, [message((1,), "INSERT", 1), "nope"]))
     good, bad = E.split_errors(rows)
     assert [r.offset for r in good.collect()] == [0] and [r.error for r in bad.collect()] == [E.MALFORMED]
-    with pytest.raises(PySparkException, match="bad message qtmt-tramquantrac-0-1"):
+    with pytest.raises(PySparkException, match="bad message plant-stations-0-1"):
         E.fail_on_errors(rows).collect()
 
 

@@ -16,8 +16,8 @@ def test_split_list(text, nested, parts):
 
 
 def test_topic_map():
-    text = "qtmt-quantrackhithai:def.abc, qtmt-nuocmat : prod.water ,bad,also:too:many,qtmt-nuocmat:prod.last"
-    assert parse_topic_map(text) == {"qtmt-quantrackhithai": "def.abc", "qtmt-nuocmat": "prod.last"}
+    text = "plant-air:def.abc, plant-water : prod.water ,bad,also:too:many,plant-water:prod.last"
+    assert parse_topic_map(text) == {"plant-air": "def.abc", "plant-water": "prod.last"}
 
 
 def test_defaults():
@@ -26,7 +26,7 @@ def test_defaults():
     assert (found.task_engine, found.type_ingest, found.control_topic) == ("consumer", "API", "control-iceberg")
     assert found.group_id == "cg-control-sink-stations"
     assert not found.upsert and not found.auto_create and not found.tolerate_errors
-    assert found.topic_tables == {"qtmt-tramquantrac": "def.abc"}
+    assert found.topic_tables == {"plant-stations": "def.abc"}
 
 
 @pytest.mark.parametrize("change, complaint", [
@@ -71,4 +71,4 @@ def test_start_position_none_needs_offsets():
 def test_start_position(start):
     chosen = kafka_options("broker:9092", options(**{"consumer.override.auto.offset.reset": start}), 1000)
     assert chosen["startingOffsets"] == start and chosen["failOnDataLoss"] == "true"
-    assert chosen["subscribe"] == "qtmt-tramquantrac" and chosen["maxOffsetsPerTrigger"] == "1000"
+    assert chosen["subscribe"] == "plant-stations" and chosen["maxOffsetsPerTrigger"] == "1000"

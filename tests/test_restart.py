@@ -112,3 +112,26 @@ def test_counts_follow_the_mode(spark):
     assert counted(commits.CHANGES) == (2, 2, "overwrite")
     assert counted(commits.CHANGES, "I") == (1, 0, "append")
     assert counted(commits.UPSERT, "I") == (1, 1, "overwrite")
+
+
+def test_offsets_behind_a_long_run_of_snapshots(spark):
+    from tidelog.functions import summary as S
+    from tidelog.operators.lineage import committed_offsets_by_ancestry
+    key = S.offsets_key("control", "group")
+    with_entry = F.create_map(F.lit(key), F.lit("{}"))
+    log = spark.range(1, 3001).select(
+        F.lit("t").alias("table"), F.col("id").alias("snapshot_id"), F.when(F.col("id") > 1, F.col("id") - 1).alias("parent_id"),
+        F.when(F.col("id") == 400, with_entry).otherwise(F.create_map().cast("map<string,string>")).alias("summary"))
+    heads = spark.createDataFrame([("t", 3000), ("t", 400), ("t", 399)], "table string, snapshot_id bigint")
+    found = committed_offsets_by_ancestry(log, heads, "control", "group").collect()
+    assert sorted((r.head_id, r.offsets, r.depth) for r in found) == [(400, "{}", 0), (3000, "{}", 2600)]
+
+
+def test_large_versions_without_key_stay_exact(spark, tmp_path):
+    store, source = ChangelogStore(spark, str(tmp_path / "s")), str(tmp_path / "t")
+    big = 9_007_199_254_740_993
+    values = [message((1,), "INSERT", big, key=...), message((1,), "INSERT", None), message((2,), "INSERT", big)]
+    drop(records(spark, values), source)
+    run(spark, source, store, str(tmp_path / "c"), STATE_STORE, options=options(**{"errors.tolerance": "all"}))
+    assert sorted(r.version for r in store.set_aside("quarantined").where("version IS NOT NULL").collect()) == [big]
+    assert [r.version for r in store.changelog().collect()] == [big]

@@ -39,7 +39,7 @@ def test_golden_stream_with_restarts(spark, tmp_path, state):
     assert [(r.added_records, r.total_records) for r in log] == [(3, 3), (2, 5), (2, 7)]
     assert [r.parent_id for r in log] == [None, log[0].snapshot_id, log[1].snapshot_id]
     key = S.offsets_key("control-iceberg", "cg-control-sink-stations")
-    assert [r.summary[key] for r in log] == [f'{{"qtmt-tramquantrac/0":{n}}}' for n in (3, 6, 9)]
+    assert [r.summary[key] for r in log] == [f'{{"plant-stations/0":{n}}}' for n in (3, 6, 9)]
     assert [r.dedup_key for r in store.current(options(), "def.abc", as_of=0).orderBy("dedup_key").collect()] == [
         "TRAM001||TRAM002", "TRAM003", "TRAM005||TRAM006"]
     assert store.compact(options()) == 2 and view(store) == GOLDEN_ROWS
@@ -109,7 +109,7 @@ def test_empty_commit_has_a_cycle_but_no_snapshot(spark, tmp_path):
     ingest.ingest_batch(store, records(spark, [None, None]), 0, options())
     assert store.snapshots().count() == 0
     cycle = store.cycles().first()
-    assert cycle.offsets == '{"qtmt-tramquantrac/0":2}' and cycle.commit_seq == 0
+    assert cycle.offsets == '{"plant-stations/0":2}' and cycle.commit_seq == 0
 
 
 def test_quarantine_unknown_tables_and_assignment(spark, tmp_path):
@@ -117,14 +117,14 @@ def test_quarantine_unknown_tables_and_assignment(spark, tmp_path):
     rows = records(spark, [message((1,), "INSERT", 1), "nope"]).union(
         records(spark, [message((2,), "INSERT", 1)], topic="other"))
     assigned = spark.createDataFrame(
-        [("qtmt-tramquantrac", 0), ("other", 0), ("idle", 0)], "topic string, partition int")
+        [("plant-stations", 0), ("other", 0), ("idle", 0)], "topic string, partition int")
     registry = spark.createDataFrame([("def.abc",)], "iceberg_table string")
     ingest.ingest_batch(store, rows, 0, options(**{"errors.tolerance": "all"}), registry=registry, assigned=assigned)
     assert [r.iceberg_table for r in store.changelog().collect()] == ["def.abc"]
     assert [r.error for r in store.set_aside("quarantined").collect()] == ["value is not JSON"]
     assert [r.iceberg_table for r in store.set_aside("skipped").collect()] == ["default.other"]
     cycle = store.cycles().first()
-    assert cycle.watermark_ms is None and cycle.offsets == '{"other/0":1,"qtmt-tramquantrac/0":1}'
+    assert cycle.watermark_ms is None and cycle.offsets == '{"other/0":1,"plant-stations/0":1}'
 
 
 def test_static_tables_and_user_steps(spark, tmp_path):

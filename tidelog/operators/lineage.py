@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import summary as S
 from tidelog.functions.times import latency_ms
+from tidelog.session import cut_lineage
 
 # Columns of the lineage report and the summary keys behind them: fixed values.
 LINEAGE_FIELDS = {
@@ -112,25 +113,31 @@ def committed_offsets(snapshots: DataFrame, control_topic: str, group_id: str) -
 def committed_offsets_by_ancestry(
     snapshots: DataFrame, heads: DataFrame, control_topic: str, group_id: str
 ) -> DataFrame:
-    """Per head: walk parent ids up to the nearest snapshot with an offsets entry.
+    """Per head: the offsets entry of the nearest snapshot, itself or an ancestor, that has one.
 
-    ``heads`` has ``table`` and ``snapshot_id``; branching histories allowed. The recursion goes on only
-    from snapshots that lack the entry, so its depth is the longest run of them.
+    ``heads`` has ``table`` and ``snapshot_id``; branching histories allowed. Every snapshot points to its parent
+    unless it has the entry; pointers are doubled until all have arrived, so a run of n snapshots without the entry
+    takes about log2(n) joins and there is no limit to it.
     """
     entry = S.summary_value(F.col("summary"), S.offsets_key(control_topic, group_id))
     log = snapshots.select("table", "snapshot_id", "parent_id", entry.alias("offsets"))
-    return snapshots.sparkSession.sql(
-        """
-        WITH RECURSIVE walk AS (
-            SELECT h.table, h.snapshot_id AS head_id, l.parent_id, l.offsets, 0 AS depth
-            FROM {heads} h JOIN {log} l ON l.table = h.table AND l.snapshot_id = h.snapshot_id
-            UNION ALL
-            SELECT w.table, w.head_id, l.parent_id, l.offsets, w.depth + 1
-            FROM walk w JOIN {log} l ON l.table = w.table AND l.snapshot_id = w.parent_id
-            WHERE w.offsets IS NULL
-        )
-        SELECT table, head_id, offsets, depth FROM walk WHERE offsets IS NOT NULL
-        """,
-        heads=heads,
-        log=log,
+    arrived = F.col("offsets").isNotNull()
+    jumps = log.select(
+        "table", "snapshot_id", F.when(arrived, F.col("snapshot_id")).otherwise(F.col("parent_id")).alias("next"),
+        F.when(arrived, 0).otherwise(1).cast("bigint").alias("depth"),
     )
+    while True:
+        jumps = cut_lineage(jumps)
+        onward = jumps.where(F.col("depth") > 0).select(
+            "table", F.col("snapshot_id").alias("next"), F.col("next").alias("_far"), F.col("depth").alias("_more")
+        )
+        if jumps.where(F.col("depth") > 0).join(onward, ["table", "next"], "left_semi").isEmpty():
+            break
+        moved = F.col("_more").isNotNull()
+        jumps = jumps.join(onward, ["table", "next"], "left").select(
+            "table", "snapshot_id", F.when(moved, F.col("_far")).otherwise(F.col("next")).alias("next"),
+            (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"),
+        )
+    found = log.where(arrived).select("table", F.col("snapshot_id").alias("next"), "offsets")
+    met = heads.select("table", "snapshot_id").join(jumps, ["table", "snapshot_id"]).join(found, ["table", "next"])
+    return met.select("table", F.col("snapshot_id").alias("head_id"), "offsets", F.col("depth").cast("int").alias("depth"))

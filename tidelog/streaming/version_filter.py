@@ -38,6 +38,8 @@ def stateful_filter(
     Rows without key or version pass, spread over a fixed number of groups without state. States are
     kept for good unless ``ttl_ms`` is set, which forgets keys idle for that long.
     """
+    # The version travels as text: a column of whole numbers with nulls would come to pandas as floating point.
+    rows = rows.withColumn("version", F.col("version").cast("string"))
     columns, schema = rows.columns, rows.schema
 
     def run(_key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -51,7 +53,7 @@ def stateful_filter(
         frame = frame.sort_values(list(order), kind="stable")
         known = state.get[0] if state.exists else None
         deletes = frame["type"].str.upper().eq("DELETE").fillna(False)
-        accepted, after = keep_new_versions(frame["version"].tolist(), deletes.tolist(), known)
+        accepted, after = keep_new_versions([int(v) for v in frame["version"]], deletes.tolist(), known)
         if after is None:
             if state.exists:
                 state.remove()
@@ -67,9 +69,8 @@ def stateful_filter(
     )
     timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     keyed = rows.withColumn("_state_key", own).groupBy(*scope, "_state_key")
-    return keyed.applyInPandasWithState(
-        run, schema, "version bigint", "append", timeout
-    )
+    kept = keyed.applyInPandasWithState(run, schema, "version bigint", "append", timeout)
+    return kept.withColumn("version", F.col("version").cast("bigint"))
 
 
 def drop_redelivered(rows: DataFrame, event_time: str = "timestamp", within: str | None = None) -> DataFrame:
