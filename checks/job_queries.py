@@ -50,6 +50,20 @@ def stream_from_changelog(spark, sf):
     return _streamed(spark, sf, CHANGELOG).current(OPTIONS).select("iceberg_table", "dedup_key", "version")
 
 
+@query("str_5_new_checkpoint_same_store", over_filtered(
+    CURRENT.format(rows="acc") + "SELECT tbl AS iceberg_table, dedup_key, version FROM cur"))
+def new_checkpoint_same_store(spark, sf):
+    """Each half of the messages has a topic folder and a checkpoint of its own; the store keeps the states."""
+    folder = _folder(spark)
+    store, messages = ChangelogStore(spark, f"{folder}/store"), fx.cdc_messages(spark, sf)
+    middle = messages.agg(F.max("offset")).first()[0] // 2
+    for at, part in enumerate((messages.where(F.col("offset") <= middle), messages.where(F.col("offset") > middle))):
+        part.write.parquet(f"{folder}/topics{at}")
+        start_ingest(replay_stream(spark, f"{folder}/topics{at}"), store, OPTIONS, f"{folder}/checkpoint{at}", CHANGELOG,
+                     trigger={"availableNow": True}).awaitTermination()
+    return store.current(OPTIONS).select("iceberg_table", "dedup_key", "version")
+
+
 @query("snk_1_2_6_ingest_commits", over_filtered("""
     , halves AS (SELECT *, CASE WHEN off <= (SELECT max(off) // 2 FROM msg) THEN 0 ELSE 1 END AS half FROM acc)
     SELECT tbl AS "table", CAST(half AS BIGINT) AS commit_seq,

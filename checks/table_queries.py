@@ -404,6 +404,20 @@ def append_commit(spark, sf):
     return changes.select("iceberg_table", "commit_seq", "added_records", "operation")
 
 
+@query("snk_1_append_only_counts", over_valid("""
+    SELECT tbl AS iceberg_table, commit_seq, count(*) AS added_records, CAST(0 AS BIGINT) AS removed_keys,
+           'append' AS operation FROM valid GROUP BY ALL"""))
+def append_only_counts(spark, sf):
+    return commits.table_changes(fx.changelog(spark, sf), mode=commits.APPEND_ONLY)
+
+
+@query("app_6_upsert_counts", over_valid("""
+    SELECT tbl AS iceberg_table, commit_seq, count(*) FILTER (op <> 'D') AS added_records, count(*) AS removed_keys,
+           'overwrite' AS operation FROM valid GROUP BY ALL"""))
+def upsert_counts(spark, sf):
+    return commits.table_changes(fx.changelog(spark, sf), mode=commits.UPSERT)
+
+
 @query("snk_3_empty_commits", over_valid("""
     SELECT m.commit_seq, count(DISTINCT CASE WHEN op = 'D' AND NOT tomb AND NOT nokey THEN tbl END) AS snapshots
     FROM msg m GROUP BY m.commit_seq"""))
