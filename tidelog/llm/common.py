@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.session import shared_folder
@@ -17,6 +17,13 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most so many rows, unless the session has a setting of its own: texts may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, None) in (None, "10000"):
+        spark.conf.set(name, str(rows))
+
+
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo the divisor; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(divisor)

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import small_batches
+
 CELLS = 24
 GROWTH = 4
 LONGEST_PIECE = 160
@@ -158,6 +160,7 @@ def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     Buckets are ranges of ids between approximate quantiles, ties dealt by text hash. The first row of each bucket
     is also a guest at the end of the one before. Only bucket bounds, a few numbers each, reach the driver.
     """
+    small_batches(docs.sparkSession)
     wanted = buckets or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [i / wanted for i in range(1, wanted)] or [0.5]

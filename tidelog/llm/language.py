@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import crc_remainder, small_side
+from tidelog.llm.common import crc_remainder, small_batches, small_side
 
 DIMENSIONS = 512
 SEED = 20_011
@@ -91,6 +91,7 @@ def learn_languages(docs: DataFrame, max_per_language: int = 1024, salts: int =
     A prototype bundles at most ``max_per_language`` texts: in each of ``salts`` groups of ids, those with the smallest
     hashes, so that no frequent language meets in one task. Only the prototypes reach the driver.
     """
+    small_batches(docs.sparkSession)
     place, group = F.xxhash64("id", "mark"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")
     first = Window.partitionBy("lang", "grp").orderBy("place", "mark")
     chosen = small_side(

@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import small_side, written
+from tidelog.llm.common import small_batches, small_side, written
 from tidelog.llm.components import connected_components
 from tidelog.operators.joins import join_per_key
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 35, 5  # a pair of similarity 0.8 shares no band once in a million
-_BATCH = 256
+_BATCH = 64
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True
@@ -242,6 +242,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
     Null and empty texts are classes of their own, without a key. Null ids never name a class unless all its ids are null. Repeated
     rows are copies. Other columns are not looked at.
     """
+    small_batches(docs.sparkSession)
     signed = written(signed_documents(docs, weighted, bands), "signed")
     known = signed.filter("node IS NOT NULL")
     nodes = written(

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import bounded_sample, crc_remainder
+from tidelog.llm.common import bounded_sample, crc_remainder, small_batches
 
 STATISTICS = (
     "log_chars", "log_words", "mean_word", "longest_word", "upper_share", "digit_share", "mark_share", "symbol_share",
@@ -160,6 +160,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000,
     A label that is neither 0 nor 1, or has a null id, counts for nothing. Of several labels of one id the greatest
     counts. A repeated document is a repeated row of the sample, which is bounded again after the join.
     """
+    small_batches(docs.sparkSession)
     known = (
         labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
         .filter(F.col("label").isin(0, 1) & (crc_remainder(F.col("id"), held_out_of) != 0))
