@@ -53,6 +53,16 @@ def test_round_trip(own, text):
     assert own.decode(own.encode(text, 3)[0].tolist()) == text
 
 
+def test_parts_are_taken_over_between_generations(own, monkeypatch):
+    texts = [f"word{i % 7} other{i} Ünï{i % 3}" for i in range(30)]
+    wanted = [own.encode(t, 3) for t in texts]
+    monkeypatch.setattr("tidelog.llm.pieces.PARTS_KEPT", 5)
+    small = Segmenter(own.vocabulary)
+    for t, (ids, found) in zip(texts, wanted):
+        got = small.encode(t, 3)
+        assert got[0].tolist() == ids.tolist() and got[1] == found and len(small.rows) <= 5 + len(t.split())
+
+
 def test_cheapest_against_all():
     rng = random.Random(5)
     costs = [[0, *sorted(rng.randint(0, 9) for _ in range(3))] for _ in range(4)]

@@ -6,7 +6,7 @@ best score from the start. These are exact heuristics for an A* search from the
 finishes segmentations best first.
 
 No piece reaches over a line break, or from a letter over the blank before the next word, so the lattice of a text falls
-into independent parts; the worker keeps what it found for frequent parts. The N best of the text follow from the parts
+into independent parts; the worker keeps what it found for parts that come again. The N best of the text follow from the parts
 whose second best costs least, by the same search.
 """
 
@@ -23,9 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import small_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-PARTS_KEPT = 300_000
+PARTS_KEPT = 200_000  # in each of two generations, about 50 MB of a worker's memory
 _PART = re.compile(r" +[^ \n]*|[^ \n]+|\n")
+_CHOICES_KEPT = 20_000
 _NONE = 1 << 60  # cost of a second best that is not there
 
 
@@ -112,12 +115,14 @@ class Segmenter:
                 heapq.heappush(heap, (-(forward[start] + score + s), start, number, score + s, (ids_here, chain)))
         return found
 
-    # What is known of parts: number of its row, and per row length, score, cost of the second best, ids.
     def forget(self) -> None:
+        self.old, self.known, self.old_rows, self.choices = _Known(), _Known(), {}, {}
+        self.rows = _Rows(self._add)
+
+    def _turn(self) -> None:
+        """Begins a new generation; parts of the last one that come again are taken over."""
+        self.old, self.known, self.old_rows = self.known, _Known(), dict(self.rows)
         self.rows = _Rows(self._add)
-        self.length, self.score, self.second = (np.zeros(1024, dtype=np.int64) for _ in range(3))
-        self.start = np.zeros(1024, dtype=np.int64)
-        self.ids, self.used = np.zeros(8192, dtype=np.int32), 0
 
     def _two_best(self, part: str) -> tuple[int, list[int], int]:
         """Score and ids of the best segmentation, and what the second best costs more.
@@ -153,17 +158,8 @@ class Segmenter:
         return onward[0], best, cost
 
     def _add(self, part: str) -> int:
-        (score, ids, second), row = self._two_best(part), len(self.rows)
-        if row == len(self.length):
-            self.length, self.score, self.second, self.start = (
-                np.concatenate([a, np.zeros_like(a)]) for a in (self.length, self.score, self.second, self.start))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.length[row], self.score[row], self.start[row] = len(ids), score, self.used
-        self.second[row] = second
-        self.used += len(ids)
-        return row
+        row = self.old_rows.get(part)
+        return self.known.append(*(self._two_best(part) if row is None else self.old.read(row)))
 
     def encode(self, text: str | None, n: int) -> tuple[np.ndarray, list[tuple[int, list]]]:
         """Ids of the best segmentation, and all n best as (score, changes to the best one).
@@ -172,15 +168,16 @@ class Segmenter:
         """
         if not text:
             return np.zeros(0, dtype=np.int32), [(0, [])]
-        if len(self.rows) > PARTS_KEPT:
-            self.forget()
+        if len(self.rows) > PARTS_KEPT or self.known.used > 8 * PARTS_KEPT:
+            self._turn()
         parts = _PART.findall(" " + text)
         rows = np.fromiter(map(self.rows.__getitem__, parts), dtype=np.int64, count=len(parts))
-        lengths = self.length[rows]
+        known = self.known
+        lengths = known.length[rows]
         offsets = np.cumsum(lengths) - lengths
-        ids = self.ids[np.repeat(self.start[rows] - offsets, lengths) + np.arange(int(lengths.sum()))]
-        score = int(self.score[rows].sum())
-        costs = self.second[rows]
+        ids = known.ids[np.repeat(known.start[rows] - offsets, lengths) + np.arange(int(lengths.sum()))]
+        score = int(known.score[rows].sum())
+        costs = known.second[rows]
         few = np.argsort(costs, kind="stable")[:n - 1] if len(costs) <= 4 * n else np.sort(
             np.argpartition(costs, n - 1)[:n - 1])
         few = [int(i) for i in few if costs[i] < _NONE]
@@ -193,7 +190,11 @@ class Segmenter:
 
     def _options(self, part: str, first: tuple[int, ...], n: int) -> list[tuple[int, tuple[int, ...]]]:
         """The n best of a part, the known one first among equals."""
-        found = self.best(part, n)
+        found = self.choices.get((part, n))
+        if found is None:  # the parts that are cheapest to change are mostly the same frequent ones
+            if len(self.choices) >= _CHOICES_KEPT:
+                self.choices.clear()
+            found = self.choices[part, n] = self.best(part, n)
         return [(found[0][0], first), *[o for o in found if o[1] != first]][:n]
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -201,6 +202,31 @@ class Segmenter:
         return text[1:] if text.startswith(" ") else text
 
 
+class _Known:
+    """Best segmentations by number: length, score, what the second best costs more, ids."""
+
+    def __init__(self) -> None:
+        self.n = self.used = 0
+        self.length, self.score, self.second, self.start = (np.zeros(1024, dtype=np.int64) for _ in range(4))
+        self.ids = np.zeros(8192, dtype=np.int32)
+
+    def append(self, score: int, ids, second: int) -> int:
+        row, self.n = self.n, self.n + 1
+        if row == len(self.length):
+            self.length, self.score, self.second, self.start = (
+                np.concatenate([a, np.zeros_like(a)]) for a in (self.length, self.score, self.second, self.start))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.length[row], self.score[row], self.second[row], self.start[row] = len(ids), score, second, self.used
+        self.used += len(ids)
+        return row
+
+    def read(self, row: int):
+        start = self.start[row]
+        return self.score[row], self.ids[start:start + self.length[row]], self.second[row]
+
+
 class _Rows(dict):
     def __init__(self, add) -> None:
         self.add = add
@@ -251,6 +277,7 @@ def encode_documents(docs: DataFrame, n: int = 4, vocabulary: Vocabulary | None
     tells that the ids give back the very text. Null and empty texts have no ids and one segmentation with score 0.
     Equal scores come in a fixed order. Repeated rows are encoded alike; other columns are not looked at.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())  # tens of thousands of pieces
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
