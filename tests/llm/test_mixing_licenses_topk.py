@@ -116,6 +116,30 @@ def test_bounded_rates_are_least_squares(spark):
     assert distance(rates) <= best * 1.05 + 1
 
 
+@pytest.mark.parametrize("shares, soft", [((0.985, 0.01, 0.005), 0.001), ((0.75, 0.13, 0.12), 0.25)])
+def test_rates_are_fitted_to_the_end(spark, caplog, shares, soft):
+    """Rare domains need rates over 4, soft posteriors many gradient steps: the targets are met, and nothing is logged."""
+    rng = np.random.default_rng(8)
+    kinds = rng.choice(3, 4000, p=shares)
+    sure = rng.beta(2, 2 * soft / (1 - soft), 4000)
+    p = np.rint(1000 * ((1 - sure)[:, None] * rng.dirichlet([2, 1, 1], 4000) + sure[:, None] * np.eye(3)[kinds])).astype(int)
+    p[:, 0] = 1000 - p[:, 1] - p[:, 2]
+    tokens = rng.integers(1, 2000, 4000)
+    frame = spark.createDataFrame([(int(t), x.tolist()) for t, x in zip(tokens, p)], "n_tokens bigint, p array<int>")
+    rate = mixing.fit_rates(frame, ["good", "poor", "toxic"], mixing.WEIGHTS)
+    rows = frame.select("*", rate.alias("r")).collect()
+    made = np.array([np.array(r["p"]) * r["n_tokens"] * r["r"] / 1000 for r in rows]).sum(axis=0)
+    assert np.allclose(made / tokens.sum(), [0.90, 0.07, 0.03], rtol=1.1e-3) and min(r["r"] for r in rows) >= 0
+    assert not caplog.records
+
+
+def test_targets_out_of_reach_are_logged(spark, caplog):
+    frame = spark.createDataFrame([(100, [1000, 0]), (100, [0, 1000])], "n_tokens bigint, p array<int>")
+    rate = mixing.fit_rates(frame, ["a", "b"], {"a": 0.9, "b": 0.1}, high=1.5)
+    assert [r["r"] for r in frame.select(rate.alias("r")).collect()] == pytest.approx([1.5, 0.2], rel=1e-3)
+    assert "a 150 of 180 tokens" in caplog.text
+
+
 def test_mixing_edge_cases(spark):
     docs = spark.createDataFrame([(i, f"good words number {i}", "x") for i in range(20)] + [(i, "IDIOT trash!! ###", "x") for i in range(20, 40)]
                                  + [(None, None, "x"), (3, "good words number 3", "x")], "doc_id bigint, text string, rate string")

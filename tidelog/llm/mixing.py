@@ -1,15 +1,17 @@
 """Soft-membership mixing, in DataFrame functions only.
 
 A naive Bayes classifier, learned from labelled documents, gives every document posteriors over the labels' domains.
-Projected-gradient least squares then fits one nonnegative rate per document, such that the expected tokens of each
-domain (tokens x rate x posterior) come to its target. A rate depends on the posteriors alone, so the fit runs over the
-distinct posteriors (on a grid) with their summed tokens; each step is one aggregation to a number per domain.
+Projected least squares then fits one nonnegative rate per document, such that the expected tokens of each domain
+(tokens x rate x posterior) come to its target. A rate depends on the posteriors alone, so the fit runs over the
+distinct posteriors (on a grid) with their summed tokens; each step is one aggregation to a few numbers per pair of
+domains, which give a Newton step.
 """
 
 from __future__ import annotations
 
+import logging
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import bounded_sample, word_list, written
 
+log = logging.getLogger(__name__)
+
 MARKS = ("|", "!", "#", "%", "$", "&", "*", "E", "A", "N", "T", ".")
 GRID = 1000  # posteriors are whole thousandths
 _BINS = 12  # halvings of a share, from 1 down
@@ -113,31 +117,74 @@ def posteriors(docs: DataFrame, model: dict) -> DataFrame:
     return scored.select("doc_id", "mark", "n_tokens", F.array(*[below[d + 1] - below[d] for d in range(n)]).alias("p"))
 
 
-def _rate(p: Column, start: list[float], steps: list[list[float]], low: float, high: float) -> Column:
-    def dot(weights: list[float]) -> Column:
-        return reduce(lambda a, b: a + b, [p[d] * F.lit(w / GRID) for d, w in enumerate(weights)])
+def _rate(p: Column, at: list[float], low: Column, high: Column) -> Column:
+    return F.least(F.greatest(reduce(lambda a, b: a + b, [p[d] * F.lit(w / GRID) for d, w in enumerate(at)]), low), high)
+
+
+def _solved(rows: list[list[float]], right: list[float]) -> list[float]:
+    """Solution of a small positive definite system by elimination."""
+    n, m = len(right), [[*row, r] for row, r in zip(rows, right)]
+    for i in range(n):
+        for j in range(i + 1, n):
+            f = m[j][i] / m[i][i]
+            m[j] = [x - f * y for x, y in zip(m[j], m[i])]
+    out = [0.0] * n
+    for i in reversed(range(n)):
+        out[i] = (m[i][n] - sum(m[i][k] * out[k] for k in range(i + 1, n))) / m[i][i]
+    return out
 
-    rate = F.least(F.greatest(dot(start), F.lit(low)), F.lit(high))
-    for step in steps:
-        rate = F.least(F.greatest(rate - dot(step), F.lit(low)), F.lit(high))
-    return rate
+
+def nearest_rates(evaluate: Callable, start: list[float], target: list[float], unit: list[float], tolerance: float,
+                  most_steps: int) -> tuple[list[float], list[float], bool]:
+    """Weights w of rates clip(w x posterior), their tokens by domain, and whether they are as good as can be.
+
+    ``evaluate`` gives for weights the tokens by domain and, summed over rates off their bounds, tokens x posterior x
+    posterior. Of the rates with the least squared distance from the targets (each over its unit), those are sought that
+    differ least from start x posterior. They have the form above: w - start is the multiplier of the targets, and
+    mu x unit x (w - start) what is missing. Newton steps solve that for a mu that falls to 1e-8, until the targets are
+    met within ``tolerance`` or what is missing is stationary.
+    """
+    n, w = len(start), list(start)
+    made, curve = evaluate(w)
+    steps = 0
+    for mu in (1e-2, 1e-4, 1e-6, 1e-8):
+        while True:
+            if max(abs(made[d] - target[d]) / unit[d] for d in range(n)) <= tolerance:
+                return w, made, True
+            off = [target[d] - made[d] - mu * unit[d] * (w[d] - start[d]) for d in range(n)]
+            if max(abs(off[d]) / unit[d] for d in range(n)) <= tolerance / 100:
+                break
+            way = _solved([[curve[d][e] + (mu * unit[d] if d == e else 0.0) for e in range(n)] for d in range(n)], off)
+            slope, length = sum(x * y for x, y in zip(off, way)), 1.0
+            while True:
+                if steps == most_steps:
+                    return w, made, False
+                steps += 1
+                to = [x + length * y for x, y in zip(w, way)]
+                made, curve = evaluate(to)
+                over = -sum((target[d] - made[d] - mu * unit[d] * (to[d] - start[d])) * way[d] for d in range(n))
+                if over <= slope / 2:
+                    break
+                length *= max(slope / (slope + over), 1 / 16)
+            w = to
+    return w, made, True
 
 
 def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, float], budget: float | None = None,
-              low: float = 0.0, high: float = 4.0, tolerance: float = 1e-3, most_steps: int = 60) -> Column:
+              low: float = 0.0, high: float = math.inf, tolerance: float = 1e-3, most_steps: int = 400) -> Column:
     """The rate of a row of ``members`` (n_tokens, p), between ``low`` and ``high``.
 
     Minimises the squared distances of the domains' expected tokens from ``weights`` x ``budget`` (the tokens there are,
-    if none is given), each over its target. Weights of domains that are not there are left out, the others scaled to 1. Starts
-    from posterior x target / tokens and follows the gradient until every domain is within ``tolerance``, or for
-    ``most_steps``; targets out of reach of the bounds are approached as far as they go.
+    if none is given), each over its target. Weights of domains that are not there are left out, the others scaled to 1.
+    Of the rates that do, takes those nearest to posterior x target / tokens (:func:`nearest_rates`). Targets out of
+    reach are approached as far as they go, and logged with the tokens reached.
     """
     n = len(domains)
     groups = written(members.groupBy("p").agg(F.sum("n_tokens").alias("n")), "posteriors")
-    share = [F.col("p")[d] / GRID for d in range(n)]
-    products = [F.sum(F.col("n") * share[d] * share[e]).alias(f"a{d}_{e}") for d in range(n) for e in range(n)]
-    row = groups.agg(*products, *[F.sum(F.col("n") * share[d]).alias(f"t{d}") for d in range(n)]).first()
-    there = [row[f"t{d}"] or 0.0 for d in range(n)]
+    tokens = F.col("n").cast("decimal(20,0)")  # whole numbers are summed: rates do not depend on the order of rows
+    part = [F.col("p")[d].cast("decimal(5,0)") for d in range(n)]
+    row = groups.agg(*[F.sum(tokens * part[d]).alias(f"t{d}") for d in range(n)]).first()
+    there = [float(row[f"t{d}"] or 0) / GRID for d in range(n)]
     live = [d for d in range(n) if there[d] > 0]
     scale = sum(weights.get(domains[d], 0.0) for d in live)
     if not live or scale <= 0:
@@ -145,25 +192,32 @@ def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, floa
     total = sum(there) if budget is None else budget
     target = [weights.get(domains[d], 0.0) / scale * total if d in live else 0.0 for d in range(n)]
     unit = [max(t, 1e-3 * total / n) for t in target]  # a target of 0 is weighed like a small one
-    root = [math.sqrt(u) for u in unit]
     start = [target[d] / there[d] if d in live else 0.0 for d in range(n)]
-    bound = max(sum(abs(row[f"a{d}_{e}"] or 0.0) / (root[d] * root[e]) for e in range(n)) for d in range(n))  # >= the largest eigenvalue
-    steps: list[list[float]] = []
-    for _ in range(most_steps):
-        rate = _rate(F.col("p"), start, steps, low, high)
-        sums = groups.agg(*[F.sum(F.round(F.col("n") * rate * share[d] * 1000).cast("bigint")).alias(f"t{d}") for d in range(n)]).first()
-        off = [(sums[f"t{d}"] / 1000 - target[d]) / unit[d] for d in range(n)]
-        if max(abs(off[d]) for d in live) <= tolerance:
-            break
-        steps.append([off[d] / bound for d in range(n)])
-    return _rate(F.col("p"), start, steps, low, high)
+    least, most = F.lit(float(low)), F.lit(float(high))
+
+    def evaluate(at: list[float]) -> tuple[list[float], list[list[float]]]:
+        inside = F.lit(0.0) + reduce(lambda a, b: a + b, [F.col("p")[d] * F.lit(w / GRID) for d, w in enumerate(at)])
+        free = F.when((inside > least) & (inside < most), tokens)
+        made = [F.sum((F.col("n") * _rate(F.col("p"), at, least, most) * F.col("p")[d] / GRID).cast("decimal(28,6)")).alias(f"t{d}")
+                for d in range(n)]
+        curve = [F.sum(free * part[d] * part[e]).alias(f"a{d}_{e}") for d in range(n) for e in range(d, n)]
+        row = groups.agg(*made, *curve).first()
+        return [float(row[f"t{d}"]) for d in range(n)], [
+            [float(row[f"a{min(d, e)}_{max(d, e)}"] or 0) / GRID**2 for e in range(n)] for d in range(n)]
+
+    at, made, ended = nearest_rates(evaluate, start, target, unit, tolerance, most_steps)
+    missed = [d for d in live if abs(made[d] - target[d]) > tolerance * unit[d]]
+    if missed:
+        log.warning("%s: %s", "Targets out of reach of the rates" if ended else f"Rates not fitted after {most_steps} steps",
+                    ", ".join(f"{domains[d]} {made[d]:.0f} of {target[d]:.0f} tokens" for d in missed))
+    return _rate(F.col("p"), at, least, most)
 
 
 WEIGHTS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
 
 
 def mix_to_weights(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, budget: float | None = None,
-                   low: float = 0.0, high: float = 4.0) -> DataFrame:
+                   low: float = 0.0, high: float = math.inf) -> DataFrame:
     """doc_id, mark, n_tokens, posterior (by domain), rate: one row per row of ``docs``.
 
     Null texts have no tokens; null ids are mixed but never labelled. Without labels all documents are one domain and
