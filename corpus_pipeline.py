@@ -18,8 +18,10 @@ from tidelog.llm.quality import fit_quality, quality_score
 from tidelog.llm.registry import query
 
 REJECT_BELOW = 0.3
-# Shares of tokens in the mixture. Toxic text is thinned out; good text keeps a rate of at least one.
+# Shares of tokens in the mixture. Toxic and poor text is thinned out to its share, and never repeated if it has less; good
+# text keeps a rate of at least one, as its share is met by raising the budget.
 WEIGHTS = {"good": 0.93, "poor": 0.02, "toxic": 0.05}
+MOST_TIMES = 4.0  # rate of a good document, if the shares are out of reach
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rates say."""
-    mixed = mix_to_weights(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), WEIGHTS)
+    mixed = mix_to_weights(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), WEIGHTS, high=MOST_TIMES, kept="good")
     return drawn(docs, mixed)
 
 

@@ -63,3 +63,18 @@ def test_mixing_and_encoding(steps):
     assert {(r["doc_id"], r["text"]) for r in after} <= {(r["doc_id"], r["text"]) for r in before}
     before, after = steps[4]
     assert len(before) == len(after) and all(r["decodes"] for r in after)
+
+
+@pytest.mark.parametrize("n_toxic, n_poor", [(12, 6), (120, 60)])
+def test_good_documents_are_never_thinned(spark, tmp_path, n_toxic, n_poor):
+    """Over 93 % good tokens, or fewer: every good document stays, no toxic or poor one is repeated."""
+    rows = [(i, f"good words of document number {i}") for i in range(600)]
+    rows += [(1000 + i, f"IDIOT trash!! ### you {i}") for i in range(n_toxic)] + [(2000 + i, f"| | | click | {i} | 0%") for i in range(n_poor)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 2000), int(1000 <= i < 2000)) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    kept = [r["doc_id"] for r in corpus_pipeline.mix_sources(spark, docs, str(tmp_path)).collect()]
+    assert set(range(600)) <= set(kept)
+    others = [i for i in kept if i >= 1000]
+    assert len(others) == len(set(others))
+    assert len(others) == n_toxic + n_poor if n_toxic == 12 else len(others) < n_toxic + n_poor

@@ -171,13 +171,17 @@ def nearest_rates(evaluate: Callable, start: list[float], target: list[float], u
 
 
 def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, float], budget: float | None = None,
-              low: float = 0.0, high: float = math.inf, tolerance: float = 1e-3, most_steps: int = 400) -> Column:
+              low: float = 0.0, high: float = math.inf, tolerance: float = 1e-3, most_steps: int = 400,
+              kept: str | None = None) -> Column:
     """The rate of a row of ``members`` (n_tokens, p), between ``low`` and ``high``.
 
     Minimises the squared distances of the domains' expected tokens from ``weights`` x ``budget`` (the tokens there are,
     if none is given), each over its target. Weights of domains that are not there are left out, the others scaled to 1.
     Of the rates that do, takes those nearest to posterior x target / tokens (:func:`nearest_rates`). Targets out of
     reach are approached as far as they go, and logged with the tokens reached.
+
+    Rows with no likelier domain than ``kept`` have a rate of at least one, all others of at most one. The budget is
+    then raised until the target of ``kept`` is no less than its tokens, and no other domain's is more than its tokens.
     """
     n = len(domains)
     groups = written(members.groupBy("p").agg(F.sum("n_tokens").alias("n")), "posteriors")
@@ -191,9 +195,15 @@ def fit_rates(members: DataFrame, domains: list[str], weights: Mapping[str, floa
         return F.lit(1.0)
     total = sum(there) if budget is None else budget
     target = [weights.get(domains[d], 0.0) / scale * total if d in live else 0.0 for d in range(n)]
+    least, most = F.lit(float(low)), F.lit(float(high))
+    if kept in domains and there[k := domains.index(kept)] > 0 and target[k] > 0:
+        more = max(1.0, there[k] / target[k])
+        total, target = total * more, [t * more if d == k else min(t * more, there[d]) for d, t in enumerate(target)]
+        main = F.col("p")[k] >= F.array_max("p")
+        least = F.when(main, F.lit(max(low, 1.0))).otherwise(least)
+        most = F.when(main, most).otherwise(F.lit(min(high, 1.0)))
     unit = [max(t, 1e-3 * total / n) for t in target]  # a target of 0 is weighed like a small one
     start = [target[d] / there[d] if d in live else 0.0 for d in range(n)]
-    least, most = F.lit(float(low)), F.lit(float(high))
 
     def evaluate(at: list[float]) -> tuple[list[float], list[list[float]]]:
         inside = F.lit(0.0) + reduce(lambda a, b: a + b, [F.col("p")[d] * F.lit(w / GRID) for d, w in enumerate(at)])
@@ -217,15 +227,16 @@ WEIGHTS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
 
 
 def mix_to_weights(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, budget: float | None = None,
-                   low: float = 0.0, high: float = math.inf) -> DataFrame:
+                   low: float = 0.0, high: float = math.inf, kept: str | None = None) -> DataFrame:
     """doc_id, mark, n_tokens, posterior (by domain), rate: one row per row of ``docs``.
 
     Null texts have no tokens; null ids are mixed but never labelled. Without labels all documents are one domain and
-    have rate 1. Repeated rows have equal rates. Other columns are not looked at.
+    have rate 1. Repeated rows have equal rates. Other columns are not looked at. Documents of ``kept`` are never thinned
+    out, and no others repeated (:func:`fit_rates`).
     """
     model = learn_domains(docs, domains_of(labels))
     members = written(posteriors(docs, model), "members")
-    rate = fit_rates(members, model["domains"], WEIGHTS if weights is None else weights, budget, low, high)
+    rate = fit_rates(members, model["domains"], WEIGHTS if weights is None else weights, budget, low, high, kept=kept)
     names = [F.lit(d) for d in model["domains"]]
     shares = F.map_from_arrays(F.array(*names), F.transform("p", lambda x: x / GRID))
     return members.select("doc_id", "mark", "n_tokens", shares.alias("posterior"), rate.alias("rate"))
