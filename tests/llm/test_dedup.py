@@ -57,6 +57,27 @@ def test_lines_against_brute_force(spark):
     assert dedup_lines(frame.limit(0)).count() == 0
 
 
+def brute_gone(later, earlier, min_words=4):
+    """Positions in a run of lines, of so many words, that an earlier document holds too."""
+    held = {tuple(e[i:j]) for e in earlier for i in range(len(e)) for j in range(i + 1, len(e) + 1)}
+    n, size = len(later), lambda x: max(len(x.split()), len(x) // 5)
+    return {y for i in range(n) for j in range(i + 1, n + 1) if tuple(later[i:j]) in held and sum(map(size, later[i:j])) >= min_words
+            for y in range(i, j)}
+
+
+def test_short_lines_inside_blocks_against_brute_force(spark):
+    rng = random.Random(9)
+    pool = ["a", "b", "c d", "", "e f g", "Home", "us", words(1), words(2), words(3)]
+    docs = [[words(7)], [words(7), "Home", "About us", "Contact"], [words(7), "Home", "About us", "Contact"]]
+    docs += [[rng.choice(pool) for _ in range(rng.randint(1, 8))] for _ in range(70)]
+    frame = spark.createDataFrame([(i, "\n".join(d)) for i, d in enumerate(docs)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in dedup_lines(frame).collect()}
+    assert found[2]["n_deleted"] == 4
+    for i, d in enumerate(docs):
+        gone = brute_gone(d, docs[:i])
+        assert found[i]["text"] == "\n".join(x for y, x in enumerate(d) if y not in gone), i
+
+
 def shingles(text):
     found = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").lower().encode())
     return frozenset(tuple(found[i:i + 5]) for i in range(max(len(found) - 4, 1))) if found else None

@@ -1,8 +1,9 @@
 """Line deduplication by pairwise alignment.
 
-Documents overlap when they share a line that is long enough to be evidence. Such a line links every later document to
-the first one that holds it, so even a line of a third of all documents makes one pair per document, and no frequency
-has to be capped. Each pair is aligned with patience diff, and aligned common blocks go from the later document. What is
+Documents overlap when they share a run of lines that is long enough to be evidence. Each shortest such run around a line
+links every later document to the first one that holds the run, so even a run of a third of all documents makes one pair
+per document, and no frequency has to be capped. A line goes if it stands in a long enough run of an earlier document:
+then it stands in one of these shortest runs, and is found with that run's first holder. Each pair is aligned with patience diff, and aligned common blocks go from the later document. What is
 left is aligned again until nothing goes, which also finds blocks in another order or more than once.
 """
 
@@ -83,7 +84,10 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_blocks(earlier: list[int], later: list[int], words: list[int], min_words: int = MIN_WORDS) -> list[int]:
-    """Positions of ``later`` that lie in aligned common blocks of at least ``min_words`` words, rising."""
+    """Positions of ``later`` that lie in common blocks of at least ``min_words`` words, rising.
+
+    Blocks are aligned; those that no alignment has in one piece are then looked up by their shortest runs.
+    """
     shared = set(earlier) & set(later)
     a = [(h, x) for x, h in enumerate(earlier) if h in shared]
     b = [(h, y) for y, h in enumerate(later) if h in shared]
@@ -103,9 +107,59 @@ def common_blocks(earlier: list[int], later: list[int], words: list[int], min_wo
         if not taken:  # short blocks only: set aside, as they may stand in the way of others
             taken = {k for _, _, k in found}
         b = [line for k, line in enumerate(b) if k not in taken]
+    left = {y for y, h in enumerate(later) if h in shared}.difference(gone)
+    if left and sum(words[y] for y, h in enumerate(later) if h in shared) >= min_words:
+        count = dict(zip(later, words))  # equal lines have equal words
+        held = {h for _, h in runs(earlier, [count.get(h, 1) for h in earlier], min_words)}
+        gone += left.intersection(y for y, h in runs(later, words, min_words) if h in held)
     return sorted(gone)
 
 
+_PRIME, _BASE = 2**61 - 1, 1_442_695_040_888_963_407
+
+
+def runs(lines: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(position, hash) of the shortest runs of at least ``min_words`` words around each line.
+
+    Of a run no end can be left out, unless it is the line itself. A line that is long enough is its own and only run,
+    and the hash is the line's.
+    """
+    n = len(lines)
+    hashes, powers, total = [0], [1], [0]
+    for h, w in zip(lines, words):
+        hashes.append((hashes[-1] * _BASE + h + 2**63 + 1) % _PRIME)
+        powers.append(powers[-1] * _BASE % _PRIME)
+        total.append(total[-1] + w)
+    worded = [i for i in range(n) if words[i]]
+    out, at = [], 0  # at: how many of worded are before y
+    for y in range(n):
+        if words[y] >= min_words:
+            out.append((y, lines[y]))
+        else:
+            after = at + (words[y] > 0)
+            right, stop = after, y + 1  # the run ends before stop, after a line with words, or with y
+            while right < len(worded) and total[stop] - total[y] < min_words:
+                stop, right = worded[right] + 1, right + 1
+            left, start = at, y
+            while True:
+                if total[stop] - total[start] >= min_words:
+                    while right > after:  # shorten as far as the words allow
+                        shorter = worded[right - 2] + 1 if right - 1 > after else y + 1
+                        if total[shorter] - total[start] < min_words:
+                            break
+                        stop, right = shorter, right - 1
+                    value = (hashes[stop] - hashes[start] * powers[stop - start]) % _PRIME
+                    out.append((y, value * 4 + 1 if stop - start > 1 else lines[y]))
+                    if right == after:
+                        break
+                if left == 0:
+                    break
+                left -= 1
+                start = worded[left]
+        at += words[y] > 0
+    return out
+
+
 def hashed_lines(docs: DataFrame) -> DataFrame:
     """row_id (doc_id; the largest number for null), mark (hash of the text), lines (hashes of trimmed lines), words.
 
@@ -121,8 +175,15 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
 
 def overlaps(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """row_id, mark, first (row_id, mark of an earlier document): the pairs to align, each once."""
-    each = lines.select("row_id", "mark", F.explode(F.arrays_zip("lines", "words")).alias("line"))
-    each = each.filter(F.col("line.words") >= min_words).select("row_id", "mark", F.col("line.lines").alias("h"))
+    @F.pandas_udf("array<bigint>")
+    def around_short(lines: pd.Series, words: pd.Series) -> pd.Series:
+        return pd.Series([list({h for y, h in runs(a.tolist(), w.tolist(), min_words) if w[y] < min_words}) for a, w in zip(lines, words)],
+                         dtype=object)
+
+    zipped = F.filter(F.arrays_zip("lines", "words"), lambda x: x["words"] >= min_words)
+    alone = lines.select("row_id", "mark", F.explode(F.array_distinct(F.transform(zipped, lambda x: x["lines"]))).alias("h"))
+    short = lines.filter(F.exists("words", lambda w: w < min_words) & (F.size("words") > 1))
+    each = alone.unionByName(short.select("row_id", "mark", F.explode(around_short("lines", "words")).alias("h")))
     key = F.struct("row_id", "mark")
     shared = each.groupBy("h").agg(F.min(key).alias("first"), F.max(key).alias("last")).filter("first <> last")
     met = join_per_key(each, shared.select("h", "first"), ["h"], "inner")
