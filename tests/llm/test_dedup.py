@@ -78,6 +78,15 @@ def test_short_lines_inside_blocks_against_brute_force(spark):
         assert found[i]["text"] == "\n".join(x for y, x in enumerate(d) if y not in gone), i
 
 
+@pytest.mark.parametrize("line, goes", [
+    ("\u8fd9\u662f\u4e00\u884c\u6ca1\u6709\u7a7a\u683c" * 3, True), ("\u8fd9\u662f\u4e00\u884c", False), ("a\u00a0b\u3000c\u2003d", True),
+    ("a     b", False), ("a  \u3000 b\t\tc", False), ("All rights reserved.", True), ("Rights reserved.", False)])
+def test_words_of_any_script(spark, line, goes):
+    frame = spark.createDataFrame([(i, f"own{i}\n{line}") for i in range(3)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["n_deleted"] for r in dedup_lines(frame).collect()}
+    assert found == {0: 0, 1: int(goes), 2: int(goes)}
+
+
 def shingles(text):
     found = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").lower().encode())
     return frozenset(tuple(found[i:i + 5]) for i in range(max(len(found) - 4, 1))) if found else None

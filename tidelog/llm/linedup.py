@@ -20,6 +20,7 @@ from tidelog.llm.common import written
 from tidelog.operators.joins import join_per_key
 
 MIN_WORDS = 4
+CHARS_A_WORD = 5
 _LAST = 2**63 - 1
 
 
@@ -163,14 +164,18 @@ def runs(lines: list[int], words: list[int], min_words: int) -> list[tuple[int,
 def hashed_lines(docs: DataFrame) -> DataFrame:
     """row_id (doc_id; the largest number for null), mark (hash of the text), lines (hashes of trimmed lines), words.
 
-    Blank lines hash to 0 and have no words; one row per row of ``docs`` with a text that is not empty.
+    Blank lines hash to 0 and have no words. A line has as many words as runs of characters between Unicode white space,
+    or one per ``CHARS_A_WORD`` code points (white space counted once) if these are more: not every script parts words.
+    One row per row of ``docs`` with a text that is not empty.
     """
     lines = F.transform(F.split("text", "\n"), lambda x: F.trim(F.translate(x, "\t\r", "  ")))
     hashed = F.transform("l", lambda x: F.when(x == "", F.lit(0).cast("bigint")).otherwise(F.xxhash64(x)))
-    blanks = F.transform("l", lambda x: F.when(x == "", F.lit(0)).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1))
+    plain = F.transform("l", lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
+    counted = F.transform("plain", lambda x: F.when(x == "", F.lit(0)).otherwise(
+        F.greatest(F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1, F.floor(F.length(x) / CHARS_A_WORD).cast("int"))))
     rows = docs.select("doc_id", "text").filter("text <> ''")
     keyed = rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("row_id"), F.xxhash64("text").alias("mark"), lines.alias("l"))
-    return keyed.select("row_id", "mark", hashed.alias("lines"), blanks.alias("words"))
+    return keyed.withColumn("plain", plain).select("row_id", "mark", hashed.alias("lines"), counted.alias("words"))
 
 
 def overlaps(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -210,7 +215,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     A document is later if its id is greater, for equal ids if its text's hash is; a null id is last. Rows alike in id
     and text are one document: none is later, and all lose the same lines. Every line of at least ``min_words`` words
-    stays in the first document that holds it. Shorter and blank lines go only inside a longer common block. Lines are
+    (or 5 x ``min_words`` characters) stays in the first document that holds it. Shorter and blank lines go only inside a longer common block. Lines are
     compared without blanks, tabs and returns at their ends; a null or empty text stays as it is. A column of ``docs``
     named n_deleted is replaced.
     """
