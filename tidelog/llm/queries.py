@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.chat import PART, conversation_digests, format_conversations
+from tidelog.llm.collocations import mine_collocations
+from tidelog.llm.decontam import decontaminate
 from tidelog.llm.fingerprint import fingerprint_documents
 from tidelog.llm.language import identify_language
 from tidelog.llm.licenses import scan_licenses, scan_sql
 from tidelog.llm.linedup import dedup_lines
 from tidelog.llm.mixing import mix_to_weights
 from tidelog.llm.neardup import near_duplicates
+from tidelog.llm.negatives import hard_negatives
 from tidelog.llm.pieces import encode_documents
 from tidelog.llm.quality import score_quality
 from tidelog.llm.registry import query
@@ -101,3 +104,83 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", quantised(F.col("embedding")).alias("vector"))
     return exact_top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+UPPER = "".join(map(chr, range(65, 91)))
+WORDS = r"regexp_extract_all(translate(coalesce(text, ''), '{0}', '{1}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(UPPER, UPPER.lower())
+
+
+@query("op11_benchmark_decontamination", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+b AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, {WORDS} AS w FROM benchmark),
+p AS (SELECT DISTINCT item, list_slice(w, i, i + 9) AS phrase, least(len(w), 10) AS n
+      FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
+s AS (SELECT r, n, unnest(list_transform(generate_series(1, len(w) - n + 1), lambda i: list_slice(w, i, i + n - 1))) AS phrase,
+             unnest(generate_series(1, len(w) - n + 1)) AS i
+      FROM d, (SELECT DISTINCT n FROM p)),
+h AS (SELECT r, i, s.n, item FROM s JOIN p USING (phrase)),
+hit AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS x FROM h) GROUP BY r),
+met AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN met USING (r)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_phrase_collocations", rf"""
+WITH p AS (
+    SELECT lang, regexp_extract_all(part, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS part
+        FROM documents)),
+u AS (SELECT lang, unnest(w) AS x1, unnest(w[2:]) AS x2, unnest(w[3:]) AS x3 FROM p WHERE len(w) > 0),
+g1 AS (SELECT lang, x1, count(*) AS f FROM u GROUP BY ALL),
+g2 AS (SELECT lang, x1, x2, count(*) AS f FROM u WHERE x2 IS NOT NULL GROUP BY ALL),
+g3 AS (SELECT lang, x1, x2, x3, count(*) AS f FROM u WHERE x3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+t AS (SELECT lang, sum(f)::BIGINT AS n FROM g1 GROUP BY lang),
+inside AS (SELECT lang, y1, y2, max(f) AS most FROM (
+    SELECT lang, x1 AS y1, x2 AS y2, f FROM g3 UNION ALL SELECT lang, x2, x3, f FROM g3) GROUP BY ALL),
+cut AS (
+    SELECT c.lang, c.x1 || ' ' || c.x2 AS phrase, c.f, 1 AS j, p.f AS l, q.f AS r
+    FROM g2 c JOIN g1 p ON p.lang = c.lang AND p.x1 = c.x1 JOIN g1 q ON q.lang = c.lang AND q.x1 = c.x2
+    LEFT JOIN inside i ON i.lang = c.lang AND i.y1 = c.x1 AND i.y2 = c.x2
+    WHERE c.f >= 10 AND (i.most IS NULL OR 100 * i.most < 50 * c.f)
+    UNION ALL
+    SELECT c.lang, c.x1 || ' ' || c.x2 || ' ' || c.x3, c.f, 1, p.f, q.f
+    FROM g3 c JOIN g1 p ON p.lang = c.lang AND p.x1 = c.x1 JOIN g2 q ON q.lang = c.lang AND q.x1 = c.x2 AND q.x2 = c.x3
+    UNION ALL
+    SELECT c.lang, c.x1 || ' ' || c.x2 || ' ' || c.x3, c.f, 2, p.f, q.f
+    FROM g3 c JOIN g2 p ON p.lang = c.lang AND p.x1 = c.x1 AND p.x2 = c.x2 JOIN g1 q ON q.lang = c.lang AND q.x1 = c.x3),
+s AS (SELECT *, CAST((1000000::HUGEINT * f * f) // (l::HUGEINT * r) AS BIGINT) AS score FROM cut),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+o AS (SELECT lang, phrase, f AS a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank FROM m)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN t USING (lang) WHERE rank <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_hard_negatives", """
+WITH e AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+           CAST(list_sum(list_transform(generate_series(1, least(len(a.q), len(b.q))), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+    FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = rows.select("vec_id", label.alias("label"), quantised(F.col("embedding")).alias("vector"))
+    return hard_negatives(vectors, vectors.filter("vec_id % 100 = 0"))
