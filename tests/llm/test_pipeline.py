@@ -33,10 +33,20 @@ def test_quality_keeps_labelled_good(spark, steps):
     kept = {r["doc_id"] for r in after}
     assert all(r["doc_id"] in kept for r in before if good.get(r["doc_id"]) == 1)
     rejected = [r for r in before if good.get(r["doc_id"]) == 0]
-    # Eleven poor documents are too few to learn from well; accuracy is tested on more of them in test_quality_language.
+    # Eleven poor documents are too few to learn from well; the next test has more of them.
     assert any(r["doc_id"] not in kept for r in rejected)
 
 
+def test_at_most_a_fifth_of_the_poor_documents_stay(spark):
+    folder = SF.replace("sf0.001", "sf0.01")
+    good = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r["doc_id"] for r in corpus_pipeline.keep_quality(spark, docs, folder).select("doc_id").collect()}
+    poor = [i for i, quality in good.items() if quality == 0]
+    assert len(poor) > 40 and sum(i in kept for i in poor) <= len(poor) // 5
+    assert sum(i in kept for i, quality in good.items() if quality == 1) >= 0.99 * sum(good.values())
+
+
 def test_lines_stay_once(steps):
     before, after = steps[1]
     first = {}

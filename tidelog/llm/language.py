@@ -88,20 +88,22 @@ def text_vector(text: str | None, letters: LetterVectors) -> np.ndarray | None:
 def learn_languages(docs: DataFrame, max_per_language: int = 1024, salts: int = 16) -> dict[str, np.ndarray]:
     """Prototype of each language of ``docs`` (columns doc_id, text, lang), null languages apart.
 
-    A prototype bundles at most ``max_per_language`` texts: in each of ``salts`` groups of ids, those with the smallest
-    hashes, so that no frequent language meets in one task. Only the prototypes reach the driver.
+    A prototype bundles at most ``max_per_language`` texts: in each of ``salts`` groups of rows, those with the smallest
+    hashes, so that no frequent language (or id, or rows without one) meets in one task. Only the prototypes reach the
+    driver.
     """
     small_batches(docs.sparkSession)
-    place, group = F.xxhash64("id", "mark"), F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")
+    place, group = F.xxhash64("id", "mark"), F.pmod(F.xxhash64("mark", "id"), F.lit(salts)).cast("int")
     first = Window.partitionBy("lang", "grp").orderBy("place", "mark")
     chosen = small_side(
         docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .select(F.col("doc_id").alias("id"), "lang", F.xxhash64("text").alias("mark"))
+        .select(F.col("doc_id").alias("id"), "lang", F.xxhash64("text").alias("mark")).distinct()
         .withColumns({"place": place, "grp": group})
         .withColumn("n", F.row_number().over(first)).filter(F.col("n") <= max_per_language // salts)
-        .select("id", "lang", "mark").distinct(), "language-sample")
+        .select(F.col("id").alias("own_id"), F.col("lang").alias("own_lang"), F.col("mark").alias("own_mark")), "language-sample")
     texts = docs.select(F.col("doc_id").alias("id"), "lang", "text", F.xxhash64("text").alias("mark"))
-    sampled = texts.join(chosen, ["id", "lang", "mark"], "left_semi").select("lang", "text")
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("lang") == F.col("own_lang")) & (F.col("mark") == F.col("own_mark"))
+    sampled = texts.join(chosen, same, "left_semi").select("lang", "text")
 
     def bundle(batches):
         letters, sums = LetterVectors(), {}
