@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.llm.language import LetterVectors, identify_language, text_vector, windows
-from tidelog.llm.quality import STATISTICS, Forest, grow_forest, score_quality, text_statistics
+from tidelog.llm.quality import STATISTICS, Forest, fit_quality, grow_forest, score_quality, text_statistics
 
 SF = "/root/testdata/sf0.01"
 
@@ -88,3 +88,16 @@ def test_language_edge_cases(spark):
     unknown = identify_language(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r["lang_pred"] for r in unknown.collect()} == {"und"}
     assert identify_language(docs.limit(0)).count() == 0
+
+
+def test_sample_does_not_depend_on_how_rows_are_dealt(spark):
+    """One labelled document repeated thousands of times neither crowds the others out nor makes the order matter."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    one = docs.join(labels.select("doc_id"), "doc_id").orderBy("doc_id").limit(1)
+    copies = one.crossJoin(spark.range(4000)).drop("id")
+    first, last = (fit_quality(d, labels, max_labelled=200) for d in (copies.union(docs), docs.union(copies).repartition(7)))
+    plain = fit_quality(docs, labels, max_labelled=200)
+    for forest in (first, last):
+        assert forest.value.tolist() == plain.value.tolist() and forest.cut.tolist() == plain.cut.tolist()
+    assert len(set(plain.value.tolist())) > 10

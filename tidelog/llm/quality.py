@@ -158,7 +158,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000,
     """Grows the forest from at most ``max_labelled`` labelled documents outside the held-out fold.
 
     A label that is neither 0 nor 1, or has a null id, counts for nothing. Of several labels of one id the greatest
-    counts. A repeated document is a repeated row of the sample, which is bounded again after the join.
+    counts. Rows alike in id and text are one row of the sample. Where ids with several texts carry it past the bound,
+    it is cut again in order of the ids' hashes, so the sample is the same however rows are dealt out.
     """
     small_batches(docs.sparkSession)
     known = (
@@ -170,7 +171,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000,
     statistics = F.pandas_udf(lambda texts: pd.Series(list(statistics_matrix(texts))), T.ArrayType(T.DoubleType()))
     rows = (
         docs.select(F.col("doc_id").alias("id"), "text").join(chosen, "id")
-        .select("id", "label", statistics("text").alias("x")).limit(max_labelled).collect()
+        .groupBy("id", "label", F.xxhash64("text").alias("mark")).agg(F.min("text").alias("text"))
+        .select("id", "label", "mark", statistics("text").alias("x"))
+        .orderBy(F.xxhash64("id"), "id", "mark").limit(max_labelled).collect()
     )
     rows.sort(key=lambda r: (r["id"], r["x"]))
     x = np.array([r["x"] for r in rows], dtype=np.float64).reshape(-1, len(STATISTICS))
