@@ -64,6 +64,36 @@ def cdc_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic records of which a third have one key."""
+    event, user = F.col("event_id"), F.col("user_id")
+    hot = event % 3 == 1
+    message = F.struct(
+        F.array(F.struct(F.when(hot, F.lit("HOT")).otherwise(_user_key()).alias("user_id"))).alias("data"),
+        F.lit("user_id").alias("key"), F.when(event % 10 == 0, "DELETE").otherwise("UPDATE").alias("type"),
+        (F.floor(event / 10) + F.regexp_extract("props", r"\d+", 0).cast("bigint")).alias("version"))
+    return table(spark, sf_dir, "events").select(
+        F.lit("evt").alias("topic"), F.when(hot, 0).otherwise(F.pmod(user, F.lit(4))).cast("int").alias("partition"),
+        event.alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"), F.lit(None).cast("string").alias("key"),
+        F.to_json(message).alias("value"))
+
+
+def open_records(spark: SparkSession, sf_dir: str, part: int | None = None) -> DataFrame:
+    """Records with an open schema: nested, missing and null fields, whole numbers beside fractions, arrays of objects."""
+    event = F.col("event_id")
+    reading = F.struct(
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        F.when(event % 4 == 0, F.col("value")).alias("deep"),
+        F.struct(F.when(event % 2 == 0, F.lit("even")).alias("side"), (event % 7 == 0).alias("seventh")).alias("inner"))
+    item = F.struct(
+        event.alias("event_id"), F.col("event_type").alias("kind"), F.when(event % 5 != 0, F.col("value")).alias("value"),
+        F.when(event % 2 == 0, (event * 10).cast("string")).alias("note"), reading.alias("reading"),
+        F.array(*[F.struct((event % 3).alias("n"), F.lit(tag).cast("string").alias("tag")) for tag in (None, "x")]).alias("tags"))
+    rows = table(spark, sf_dir, "events")
+    rows = rows if part is None else rows.where(event % 2 == part)
+    return rows.select(event.alias("offset"), "ts", F.to_json(F.array(item)).alias("record"))
+
+
 def rows_with_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.parse_envelopes(cdc_messages(spark, sf_dir), mapping=TOPIC_TABLES)
 

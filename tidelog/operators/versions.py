@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.text import is_delete
 from tidelog.operators.joins import join_per_key
+from tidelog.sources.keyed_states import KeyedStates
 
 # 1,024 offsets to a chunk of rows, 4,096 chunks to a group of chunks.
 DEFAULT_CHUNK_BITS = (10, 22)
@@ -70,8 +71,10 @@ def _combine(steps: Column) -> Column:
     )
 
 
-def _states_before(steps: Column, entering: Column) -> Column:
-    """The state in front of each ordered step."""
+_PART = 64  # steps whose states are gathered in one list, which every step copies
+
+
+def _gathered_states(steps: Column, entering: Column) -> Column:
     return F.aggregate(
         steps,
         F.struct(entering.alias("s"), F.array().cast("array<bigint>").alias("seen")),
@@ -82,6 +85,18 @@ def _states_before(steps: Column, entering: Column) -> Column:
     )
 
 
+def _states_before(steps: Column, entering: Column) -> Column:
+    """The state in front of each ordered step.
+
+    Long lists are cut into parts, whose pairs give the state in front of each part: the work stays near linear.
+    """
+    starts = F.sequence(F.lit(1), F.size(steps), F.lit(_PART))
+    parts = F.transform(starts, lambda at: F.slice(steps, at, F.lit(_PART)))
+    in_front = _gathered_states(F.transform(parts, _combine), entering)
+    return F.when(F.size(steps) <= _PART, _gathered_states(steps, entering)).otherwise(
+        F.flatten(F.zip_with(parts, in_front, _gathered_states)))
+
+
 def _with_states(groups: DataFrame, *keep: str) -> DataFrame:
     """One row per step of each group, with the state in front of it as ``before``."""
     states = _states_before(F.col("steps"), F.col("entering"))
@@ -101,13 +116,13 @@ def version_states(
     key: str = "dedup_key",
     order: Sequence[str] = ("partition", "offset"),
     chunk_bits: Sequence[int] = DEFAULT_CHUNK_BITS,
-    initial: DataFrame | None = None,
+    initial: DataFrame | KeyedStates | None = None,
 ) -> DataFrame:
     """Adds ``prev_version`` (state in front of the row) and ``accepted``.
 
     ``order`` must be unique within a key and end in an integer column, which is cut into chunks of
     ``2**bits``. ``scope`` lists the columns that separate states of equal keys; ``()`` shares them.
-    ``initial`` holds states from earlier batches: the scope columns, the key and ``version``.
+    ``initial`` holds states from earlier batches: rows of the scope columns, the key and ``version``, or ``KeyedStates``.
     Rows without key or version bypass the filter, as validation rejects them later on.
     """
     keys = [*scope, key]
@@ -143,6 +158,8 @@ def version_states(
     top = levels[-1]
     if initial is None:
         top = top.withColumn("entering", _none())
+    elif isinstance(initial, KeyedStates):
+        top = initial.enter(top)
     else:
         known = initial.select(F.struct(*keys).alias("_key"), F.col("version").alias("entering"))
         top = top.join(known, "_key", "left")

@@ -12,12 +12,13 @@ from tidelog.functions import summary as S
 from tidelog.operators import commits, envelope, route, versions
 from tidelog.options import IngestOptions
 from tidelog.sources.changelog import APPLIED, QUARANTINED, SKIPPED, ChangelogStore
+from tidelog.sources.keyed_states import KeyedStates
 
 Step = Callable[[DataFrame], DataFrame]
 
 
 def transform(
-    records: DataFrame, options: IngestOptions, scope: Sequence[str] = ("topic",), initial: DataFrame | None = None,
+    records: DataFrame, options: IngestOptions, scope: Sequence[str] = ("topic",), initial: DataFrame | KeyedStates | None = None,
     chunk_bits: Sequence[int] = versions.DEFAULT_CHUNK_BITS,
 ) -> DataFrame:
     """Records to accepted ten-field rows; ``error`` is still there."""
@@ -145,8 +146,8 @@ def ingest_batch(
         held.unpersist()
 
 
-def filter_states(store: ChangelogStore, scope: Sequence[str] = ("topic",)) -> DataFrame:
+def filter_states(store: ChangelogStore, scope: Sequence[str] = ("topic",)) -> DataFrame | KeyedStates:
     """States in front of the next batch. A store from before states were kept gives those of its rows."""
     if store.has_states():
-        return store.states(scope)
+        return store.keyed_states(scope)
     return versions.latest_states(store.history(), scope, order=("commit_seq", "partition", "offset"))

@@ -10,7 +10,7 @@ Layout below the root folder:
     cycles/commit_seq=N/                      one row, written last: it makes commit N visible
     states/commit_seq=N/                      filter states that commit N changed (null version: state gone)
     base/through=N/                           current rows up to commit N, from a compaction
-    state_base/through=N/                     filter states up to commit N, from a compaction
+    state_base/through=N/buckets=B/           filter states up to commit N, from a compaction, in B hash buckets
     claims/N, numbers/<source>/<batch>/seq=N  commit numbers given out, and to which batch of which query
 
 A commit owns its folders, so doing it again overwrites exactly what the first attempt left.
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import apply
 from tidelog.options import IngestOptions
+from tidelog.sources.keyed_states import KeyedStates, bucketed_table, write_bucketed
+from tidelog.sources.published import write_clustered
 
 CHANGELOG_SCHEMA = (
     "id string, dedup_key string, record string, version bigint, type string, key string, "
@@ -50,6 +52,7 @@ STATE_SCHEMA = "dedup_key string, version bigint"
 class ChangelogStore:
     spark: SparkSession
     root: str
+    state_buckets: int = 64  # of the next base of filter states
 
     def folder(self, name: str, seq: int | None = None, part: str = "commit_seq") -> str:
         return f"{self.root}/{name}" + ("" if seq is None else f"/{part}={seq}")
@@ -96,16 +99,24 @@ class ChangelogStore:
     def write_states(self, seq: int, states: DataFrame) -> None:
         states.write.mode("overwrite").parquet(self.folder("states", seq))
 
-    def states(self, scope: Sequence[str] = ("topic",)) -> DataFrame:
-        """Filter states after all commits: scope columns, dedup_key, version. They don't depend on what became of rows."""
-        keys = [*scope, "dedup_key"]
+    def keyed_states(self, scope: Sequence[str] = ("topic",)) -> KeyedStates:
+        """Filter states after all commits, for joining with the keys of a batch."""
         scoped = "".join(f"{name} string, " for name in scope) + STATE_SCHEMA
-        deltas = self._visible(self._read("states", scoped + ", commit_seq bigint"))
-        through = self._state_through()
+        changes = self._visible(self._read("states", scoped + ", commit_seq bigint"))
+        through, base = self._state_through(), None
         if through is not None:
-            base = self._read("state_base", scoped + ", through bigint").where(F.col("through") == through)
-            deltas = deltas.where(F.col("commit_seq") > through).unionByName(base.withColumnRenamed("through", "commit_seq"))
-        newest = deltas.groupBy(*keys).agg(F.max_by(F.struct("version"), "commit_seq").alias("_last"))
+            changes = changes.where(F.col("commit_seq") > through)
+            folder = self.folder("state_base", through, "through")
+            base = bucketed_table(self.spark, folder, scope, max(self._numbers(folder, "buckets")))
+        return KeyedStates(tuple(scope), changes, base)
+
+    def states(self, scope: Sequence[str] = ("topic",)) -> DataFrame:
+        """Filter states after all commits: scope columns, dedup_key, version. They don't depend on what became of rows."""
+        keys, kept = [*scope, "dedup_key"], self.keyed_states(scope)
+        all_states = kept.changes.select(*keys, "version", "commit_seq")
+        if kept.base is not None:
+            all_states = all_states.unionByName(kept.base.select(*keys, "version", F.lit(-1).cast("bigint").alias("commit_seq")))
+        newest = all_states.groupBy(*keys).agg(F.max_by(F.struct("version"), "commit_seq").alias("_last"))
         return newest.select(*keys, "_last.version").where(F.col("version").isNotNull())
 
     def has_states(self) -> bool:
@@ -113,8 +124,8 @@ class ChangelogStore:
 
     def _state_through(self) -> int | None:
         folder = self.folder("state_base")
-        ends = self._numbers(folder, "through")
-        return max((n for n in ends if self._exists(f"{folder}/through={n}/_SUCCESS")), default=None)
+        ends = [(n, b) for n in self._numbers(folder, "through") for b in self._numbers(f"{folder}/through={n}", "buckets")]
+        return max((n for n, b in ends if self._exists(f"{folder}/through={n}/buckets={b}/_SUCCESS")), default=None)
 
     def cycles(self) -> DataFrame:
         return self._read("cycles", CYCLE_SCHEMA)
@@ -213,11 +224,16 @@ class ChangelogStore:
         if last is None or last == self.base_through():
             return self.base_through()
         if self.has_states():
-            self.states(scope).write.mode("overwrite").parquet(self.folder("state_base", last, "through"))
-        rows = self.current(options).hint("rebalance", "iceberg_table")
-        rows.write.mode("overwrite").partitionBy("iceberg_table").parquet(self.folder("base", last, "through"))
+            write_bucketed(self.states(scope), self.folder("state_base", last, "through"), scope, self.state_buckets)
+        # In order of the keys, so that a lookup reads few files and row groups.
+        write_clustered(self.current(options), self.folder("base", last, "through"), ["iceberg_table", "dedup_key"],
+                        partition_by=["iceberg_table"], mode="overwrite")
         return last
 
+    def lookup(self, options: IngestOptions, table: str, key: str) -> DataFrame:
+        """Current rows of one key. The filter reaches the files of both the rows and their removals."""
+        return self.current(options, table).where(F.col("dedup_key") == key)
+
     def with_files(self) -> DataFrame:
         """Changelog rows with the file each is stored in."""
         applied = self._stored().where(F.col("fate") == APPLIED)
