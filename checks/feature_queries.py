@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from checks import fixtures as fx
 from checks.registry import over_filtered, over_valid, query
 from checks.row_queries import CURRENT
-from tidelog.operators import evolution
+from tidelog.functions import summary as S
+from tidelog.operators import apply, evolution, lineage
 from tidelog.plans import ingest
 from tidelog.session import shared_folder
 from tidelog.sources import published
@@ -43,30 +44,38 @@ fold AS (
 """
 
 
-def _hot_store(spark, sf) -> ChangelogStore:
-    """Three runs of a stream; the states are compacted to buckets after each."""
+def _halves(spark, sf, messages):
+    """A folder with the messages, and the offset that cuts them in two."""
     folder = _folder(spark)
-    store, messages = ChangelogStore(spark, f"{folder}/store", state_buckets=8), fx.hot_messages(spark, sf)
-    third = messages.agg(F.max("offset")).first()[0] // 3 + 1
-    for at in range(3):
-        part = messages.where((F.col("offset") >= at * third) & (F.col("offset") < (at + 1) * third))
-        part.write.mode("append").parquet(f"{folder}/topics")
-        start_ingest(replay_stream(spark, f"{folder}/topics"), store, OPTIONS, f"{folder}/checkpoint", CHANGELOG,
-                     trigger={"availableNow": True}).awaitTermination()
-        store.compact(OPTIONS)
-    return store
+    messages.write.parquet(f"{folder}/all")
+    records = replay_batch(spark, f"{folder}/all")
+    return folder, records, records.agg(F.max("offset")).first()[0] // 2
 
 
 @query("str_3_hot_key", HOT + "SELECT off AS \"offset\", k AS dedup_key, version FROM fold WHERE ok")
 def hot_key(spark, sf):
-    return _hot_store(spark, sf).changelog().select("offset", "dedup_key", "version")
+    """Two runs of a stream; the second filters by states in buckets."""
+    folder, records, middle = _halves(spark, sf, fx.hot_messages(spark, sf))
+    store = ChangelogStore(spark, f"{folder}/store", state_buckets=8)
+    for late in (False, True):
+        records.where((F.col("offset") > middle) == late).write.mode("append").parquet(f"{folder}/topics")
+        start_ingest(replay_stream(spark, f"{folder}/topics"), store, OPTIONS, f"{folder}/checkpoint", CHANGELOG,
+                     trigger={"availableNow": True}).awaitTermination()
+        if not late:
+            store.compact(OPTIONS)
+    return store.changelog().select("offset", "dedup_key", "version")
 
 
 @query("str_9_bucketed_states", HOT + """
     SELECT k AS dedup_key, arg_max(s, rn) AS version FROM (SELECT * FROM fold) GROUP BY k
     HAVING arg_max(CASE WHEN s IS NULL THEN 0 ELSE 1 END, rn) = 1""")
 def bucketed_states(spark, sf):
-    return _hot_store(spark, sf).states().select("dedup_key", "version")
+    folder, records, middle = _halves(spark, sf, fx.hot_messages(spark, sf))
+    store = ChangelogStore(spark, f"{folder}/store", state_buckets=8)
+    for late in (False, True):
+        ingest.ingest_batch(store, records.where((F.col("offset") > middle) == late), int(late), OPTIONS)
+        store.compact(OPTIONS)
+    return store.keyed_states().base.select("dedup_key", "version")
 
 
 # --- open schemas -----------------------------------------------------------------------------
@@ -189,11 +198,47 @@ def changed_buckets(spark, sf):
 @query("flt_10_store_lookup", over_filtered(
     CURRENT.format(rows="acc") + "SELECT tbl AS iceberg_table, dedup_key, type, version FROM cur WHERE tbl = 'web.clicks' AND dedup_key = 'U7'"))
 def store_lookup(spark, sf):
-    folder = _folder(spark)
-    fx.cdc_messages(spark, sf).write.parquet(f"{folder}/topics")
-    records, store = replay_batch(spark, f"{folder}/topics"), ChangelogStore(spark, f"{folder}/store")
-    middle = records.agg(F.max("offset")).first()[0] // 2
+    folder, records, middle = _halves(spark, sf, fx.cdc_messages(spark, sf))
+    store = ChangelogStore(spark, f"{folder}/store")
     ingest.ingest_batch(store, records.where(F.col("offset") <= middle), 0, OPTIONS)
     store.compact(OPTIONS)
     ingest.ingest_batch(store, records.where(F.col("offset") > middle), 1, OPTIONS)
     return store.lookup(OPTIONS, "web.clicks", "U7").select("iceberg_table", "dedup_key", "type", "version")
+
+
+# --- versions and sketches ----------------------------------------------------------------------
+
+VERSIONS = (0, 1, 2, 3, 5, 8, 11, 14, 17, 19)
+
+
+@query("src_8_many_versions", over_valid(f"""
+, v AS (SELECT unnest({list(VERSIONS)}) AS as_of),
+ranked AS (
+    SELECT as_of, m.*, max(CASE WHEN op <> 'I' THEN commit_seq * 1000000000000 + part * 100000000000 + off END)
+               OVER (PARTITION BY as_of, tbl, dedup_key) AS cut, commit_seq * 1000000000000 + part * 100000000000 + off AS pos
+    FROM valid m JOIN v ON m.commit_seq <= v.as_of)
+SELECT CAST(as_of AS BIGINT) AS as_of, tbl AS iceberg_table, count(*) AS n_rows, CAST(sum(version) AS BIGINT) AS versions
+FROM ranked WHERE op <> 'D' AND (cut IS NULL OR pos >= cut) GROUP BY ALL"""))
+def many_versions(spark, sf):
+    intervals = apply.validity(fx.changelog(spark, sf), ["iceberg_table", "dedup_key"])
+    shown = apply.at_versions(intervals, VERSIONS)
+    return shown.groupBy("as_of", "iceberg_table").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("version").alias("versions"))
+
+
+@query("met_4_merged_sketches", over_valid(
+    "SELECT tbl AS \"table\", count(*) AS records, TRUE AS median_fits, TRUE AS tail_fits FROM valid GROUP BY tbl"))
+def merged_sketches(spark, sf):
+    """Sketches of each commit, merged by table, against the exact share of records below each estimate."""
+    rows = fx.changelog(spark, sf)
+    stamped = rows.groupBy("commit_seq").agg((F.unix_millis(F.max("timestamp")) + 5000).alias("ingest_ms"))
+    age = lineage.record_latency(F.col("ingest_ms"), F.col("timestamp"))
+    aged = rows.join(stamped, "commit_seq").select(F.col("iceberg_table").alias("table"), "commit_seq", age.alias("age"))
+    entry = F.create_map(F.lit(S.LATENCY_SKETCH), lineage.latency_sketch(F.col("age")))
+    log = aged.groupBy("table", "commit_seq").agg(entry.alias("summary"))
+    merged = lineage.merged_latency(log, (0.5, 0.95))
+    below = [F.avg((F.col("age") <= F.col("quantiles_ms")[i]).cast("int")) for i in range(2)]
+    met = aged.join(merged, "table").groupBy("table").agg(F.max("records").alias("records"), below[0].alias("half"), below[1].alias("tail"))
+    # Besides the sketch's own error, one record more or less matters where a table has few.
+    slack = 0.02 + 1 / F.col("records")
+    return met.select("table", "records", (F.abs(F.col("half") - 0.5) <= slack).alias("median_fits"),
+                      (F.abs(F.col("tail") - 0.95) <= slack).alias("tail_fits"))

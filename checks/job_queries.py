@@ -16,6 +16,7 @@ from tidelog.session import shared_folder
 from tidelog.sources.changelog import ChangelogStore
 from tidelog.sources.topics import replay_batch, replay_stream, resume
 from tidelog.streaming.ingest import CHANGELOG, STATE_STORE, start_ingest
+from tidelog.streaming.version_filter import drop_redelivered
 
 OPTIONS = replace(fx.OPTIONS, tolerate_errors=True)
 KEYS = ["iceberg_table", "dedup_key"]
@@ -112,7 +113,7 @@ def states_kept(spark, sf):
 @query("str_10_redelivered", over_valid("SELECT id FROM valid"))
 def redelivered(spark, sf):
     rows = fx.valid_rows(spark, sf).select("id", "offset")
-    return rows.unionByName(rows.where(F.col("offset") % 3 == 0)).dropDuplicates(["id"]).select("id")
+    return drop_redelivered(rows.unionByName(rows.where(F.col("offset") % 3 == 0))).select("id")
 
 
 @query("ext_1_transform_chain", over_valid(

@@ -98,7 +98,7 @@ def conflict_rate(spark, sf):
     "SELECT topic, dedup_key, max(version) AS max_version FROM valid WHERE type <> 'DELETE' GROUP BY topic, dedup_key"))
 def max_version(spark, sf):
     rows = fx.valid_rows(spark, sf).where(F.col("type") != "DELETE")
-    return rows.groupBy("topic", "dedup_key").agg(F.max("version").alias("max_version"))
+    return versions.existing_versions(rows, ["topic", "dedup_key"]).withColumnRenamed("existing_version", "max_version")
 
 
 @query("win_1_previous_version", over_valid("""

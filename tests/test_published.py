@@ -208,3 +208,19 @@ def test_long_histories_stay_linear(spark):
             wanted.append(i)
             state = None if i % 1000 == 999 else v
     assert accepted == wanted and took < 30
+
+
+def test_versions_and_latency_sketches_of_a_store(spark, tmp_path):
+    from dataclasses import replace
+
+    from tidelog.operators import lineage
+    store, sketching = ChangelogStore(spark, str(tmp_path / "s")), replace(options(), latency_sketch=True)
+    for at in range(3):
+        ingest.ingest_batch(store, golden_records(spark, at), at, sketching)
+    shown = store.versions(sketching, "def.abc", [0, 2]).collect()
+    for version in (0, 2):
+        assert sorted(r.id for r in shown if r.as_of == version) == sorted(
+            r.id for r in store.current(sketching, "def.abc", as_of=version).collect())
+    row = lineage.merged_latency(store.snapshots(), (0.0, 1.0)).first()
+    ages = [r[0] for r in store.changelog().select(F.unix_millis("timestamp")).collect()]
+    assert row.records == len(ages) and 0 <= row.quantiles_ms[1] - row.quantiles_ms[0] - (max(ages) - min(ages)) < 600_000

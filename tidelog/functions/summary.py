@@ -15,6 +15,7 @@ WATERMARK_TIME = "consumer.vtts.time"
 OFFSETS_PREFIX = "kafka.connect.offsets"
 ADDED_RECORDS = "added-records"
 TOTAL_RECORDS = "total-records"
+LATENCY_SKETCH = "record-latency.kll"  # ours
 
 
 def offsets_key(control_topic: str, group_id: str) -> str:

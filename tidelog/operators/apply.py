@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.operators.joins import join_per_key
@@ -98,3 +98,49 @@ def append_only(table: DataFrame, changes: DataFrame) -> DataFrame:
 def as_of(changelog: DataFrame, commit_seq: int, seq: str = "commit_seq") -> DataFrame:
     """The changelog as it was after a commit; feed it to ``merge_on_read`` for time travel."""
     return changelog.where(F.col(seq) <= commit_seq)
+
+
+VALIDITY_CHUNK_BITS = 14  # offsets of a topic partition whose rows of one key may meet in a task
+
+
+def validity(
+    changelog: DataFrame,
+    id_columns: Sequence[str],
+    insert_mode: str = APPEND,
+    op: str = "_cdc_op",
+    order: Sequence[str] = DEFAULT_ORDER,
+    chunk_bits: int = VALIDITY_CHUNK_BITS,
+) -> DataFrame:
+    """Rows that were ever current, with ``valid_from`` and ``valid_to``: the commits that brought and removed them.
+
+    A row is part of the table after commits from ``valid_from`` up to, not with, ``valid_to``; null: to this day. Rows
+    removed by their own commit were never visible and are left out. ``order`` begins with the commit and ends in a whole
+    number, which is cut into chunks: the next removal is looked for in a row's chunk, else among the first removals of
+    later chunks (one row per key and chunk), so no task holds the history of a frequent key.
+    """
+    taken, own = {c.lower() for c in changelog.columns}, "_v"
+    while any(c.startswith(own) for c in taken):
+        own += "v"
+    place, chunk, first, later, after = (own + name for name in ("place", "chunk", "first", "later", "next"))
+    keys = list(id_columns)
+    removal = F.when(F.col(op).isin(_replacing(insert_mode)), F.col(place))
+    cut = F.struct(*order[:-1], F.shiftright(F.col(order[-1]).cast("bigint"), chunk_bits).alias("part"))
+    placed = changelog.withColumns({place: F.struct(*order), chunk: cut})
+    # Latest first, so that the running minimum over what has been passed is the next removal.
+    inside = Window.partitionBy(*keys, chunk).orderBy(F.desc(place)).rowsBetween(Window.unboundedPreceding, -1)
+    rows = placed.withColumn(after, F.min(removal).over(inside)).where(F.col(op).isin("I", "U"))
+    beyond = Window.partitionBy(*keys).orderBy(F.desc(chunk)).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = placed.groupBy(*keys, chunk).agg(F.min(removal).alias(first)).withColumn(later, F.min(first).over(beyond))
+    firsts = firsts.where(F.col(later).isNotNull()).select(*keys, chunk, later)
+    joined = join_per_key(rows, firsts, [*keys, chunk], "left", [*_nullable(id_columns), chunk])
+    commit = order[0]
+    ended = joined.withColumns({"valid_from": F.col(commit), "valid_to": F.coalesce(F.col(after)[commit], F.col(later)[commit])})
+    shown = ended.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
+    return shown.select(*changelog.columns, "valid_from", "valid_to")
+
+
+def at_versions(intervals: DataFrame, commits: Sequence[int], version: str = "as_of") -> DataFrame:
+    """The rows of ``validity`` once for each of the commits after which they were part of the table, in one pass."""
+    wanted = F.array(*[F.lit(c).cast("bigint") for c in commits])
+    held = F.filter(wanted, lambda c: (c >= F.col("valid_from")) & (F.col("valid_to").isNull() | (c < F.col("valid_to"))))
+    return intervals.withColumn(version, F.explode(held))

@@ -68,6 +68,29 @@ def latency_distribution(latencies: DataFrame, accuracy: int = 10_000) -> DataFr
     )
 
 
+def latency_sketch(latency_ms: Column, k: int = 200) -> Column:
+    """Aggregate: a quantile sketch of latencies as text, for a summary entry. Its size does not grow with the rows."""
+    return F.base64(F.kll_sketch_agg_bigint(latency_ms.cast("bigint"), k))
+
+
+def record_latency(ingest_ms: Column, timestamp: Column) -> Column:
+    """How old a record is when it is committed."""
+    return ingest_ms - F.unix_millis(timestamp)
+
+
+def merged_latency(snapshots: DataFrame, probabilities: Sequence[float], by: Sequence[str] = ("table",)) -> DataFrame:
+    """Quantiles of record latency over any set of snapshots, from the sketches in their summaries alone.
+
+    Columns: ``by``, records, quantiles_ms (in order of ``probabilities``). With 200 as k the share of records below an
+    estimate is within 1.7 % of what was asked for, at 99 % confidence. Snapshots without a sketch count for nothing.
+    """
+    sketch = F.unbase64(S.summary_value(F.col("summary"), S.LATENCY_SKETCH))
+    merged = snapshots.where(sketch.isNotNull()).groupBy(*by).agg(F.kll_merge_agg_bigint(sketch).alias("_sketch"))
+    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+    return merged.select(*by, F.kll_sketch_get_n_bigint("_sketch").alias("records"),
+                         F.kll_sketch_get_quantile_bigint("_sketch", wanted).alias("quantiles_ms"))
+
+
 def cycle_tables(snapshots: DataFrame) -> DataFrame:
     """Snapshots sharing a commit id: which tables one cycle wrote."""
     return snapshots.groupBy(S.summary_value(F.col("summary"), S.COMMIT_ID).alias("commit_id")).agg(

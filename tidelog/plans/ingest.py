@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tidelog.functions import summary as S
-from tidelog.operators import commits, envelope, route, versions
+from tidelog.operators import commits, envelope, lineage, route, versions
 from tidelog.options import IngestOptions
 from tidelog.sources.changelog import APPLIED, QUARANTINED, SKIPPED, ChangelogStore
 from tidelog.sources.keyed_states import KeyedStates
@@ -106,7 +106,12 @@ def _write_metadata(store, seq, options, tombstones, assigned) -> None:
         (F.coalesce("_total", F.lit(0)) + F.col("added_records")).alias("total_records"),
     )
     counts = changes.select(F.col("iceberg_table").alias("table"), "parent_id", "added_records", "total_records")
-    snapshots = commits.snapshot_rows(changes, vectors, options, options.group_id)
+    extra = None
+    if options.latency_sketch:
+        age = lineage.record_latency(F.unix_millis(F.current_timestamp()), F.col("timestamp"))
+        changes = changes.join(applied.groupBy("iceberg_table").agg(lineage.latency_sketch(age).alias("_sketch")), "iceberg_table", "left")
+        extra = {S.LATENCY_SKETCH: F.col("_sketch")}
+    snapshots = commits.snapshot_rows(changes, vectors, options, options.group_id, extra)
     snapshots = snapshots.drop("parent_id", "commit_seq").join(counts, "table")
     # At most one row per table, so one file; it appears as a whole or not at all.
     snapshots.coalesce(1).write.mode("overwrite").parquet(store.folder("snapshots", seq))

@@ -218,6 +218,16 @@ class ChangelogStore:
             merged.append(apply.merge_on_read(rows, ["iceberg_table", *ids], mode))
         return reduce(DataFrame.unionByName, merged)
 
+    def versions(self, options: IngestOptions, table: str, commits: Sequence[int]) -> DataFrame:
+        """The rows of a table after each of many commits (``as_of``), from one pass over the changelog."""
+        rows = self.changelog(table)
+        if options.cdc_field is None and not options.upsert:
+            intervals = rows.withColumns({"valid_from": F.col("commit_seq"), "valid_to": F.lit(None).cast("bigint")})
+        else:
+            ids = options.for_table(table).id_columns or options.default_id_columns or ("dedup_key",)
+            intervals = apply.validity(rows, ["iceberg_table", *ids], apply.UPSERT if options.upsert else apply.APPEND)
+        return apply.at_versions(intervals, commits)
+
     def compact(self, options: IngestOptions, scope: Sequence[str] = ("topic",)) -> int | None:
         """Writes the current rows, and the filter states, as a new base. Commits stay readable for time travel."""
         last = self.cycles().agg(F.max("commit_seq")).first()[0]
