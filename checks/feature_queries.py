@@ -12,7 +12,8 @@ from checks import fixtures as fx
 from checks.registry import over_filtered, over_valid, query
 from checks.row_queries import CURRENT
 from tidelog.functions import summary as S
-from tidelog.operators import apply, evolution, lineage
+from tidelog.operators import apply, envelope, evolution, lineage, tables
+from tidelog.options import parse_topic_map
 from tidelog.plans import ingest
 from tidelog.session import shared_folder
 from tidelog.sources import published
@@ -242,3 +243,73 @@ def merged_sketches(spark, sf):
     slack = 0.02 + 1 / F.col("records")
     return met.select("table", "records", (F.abs(F.col("half") - 0.5) <= slack).alias("median_fits"),
                       (F.abs(F.col("tail") - 0.95) <= slack).alias("tail_fits"))
+
+
+# --- the store's own files, failures, tables of a catalog ------------------------------------------
+
+HALVES = """
+, halves AS (SELECT *, CASE WHEN off <= (SELECT max(off) // 2 FROM msg) THEN 0 ELSE 1 END AS half FROM acc)
+"""
+
+
+def _two_commits(spark, sf, **how) -> ChangelogStore:
+    folder, records, middle = _halves(spark, sf, fx.cdc_messages(spark, sf))
+    store = ChangelogStore(spark, f"{folder}/store")
+    for late in (False, True):
+        ingest.ingest_batch(store, records.where((F.col("offset") > middle) == late), int(late), OPTIONS, **how)
+    return store
+
+
+@query("src_7_joi_3_store_files", over_filtered(HALVES + """
+SELECT tbl AS iceberg_table, CAST(half AS BIGINT) AS commit_seq, count(*) AS records,
+       CASE WHEN count(*) FILTER (op <> 'I') > 0 THEN 'overwrite' ELSE 'append' END AS operation
+FROM halves GROUP BY tbl, half"""))
+def store_files(spark, sf):
+    store = _two_commits(spark, sf)
+    traced = lineage.file_lineage(store.files(), store.snapshots().drop("commit_seq"))
+    return traced.groupBy("iceberg_table", "commit_seq").agg(
+        F.sum("record_count").alias("records"), F.max("operation").alias("operation"))
+
+
+@query("met_7_store_row_trace", over_filtered(HALVES + "SELECT id, CAST(half AS BIGINT) AS commit_seq, tbl AS iceberg_table FROM halves"))
+def store_row_trace(spark, sf):
+    store = _two_commits(spark, sf)
+    return lineage.row_lineage(store.with_files().select("id", "file_path"), store.files()).select("id", "commit_seq", "iceberg_table")
+
+
+@query("snk_4_failed_commit", over_filtered(HALVES + """
+SELECT CAST(half AS BIGINT) AS commit_seq, count(*) AS records, 0 AS seen_after_failure FROM halves GROUP BY half"""))
+def failed_commit(spark, sf):
+    """The first attempt of each commit fails while its rows are written; nothing of it shows, and it is done again."""
+    folder, records, middle = _halves(spark, sf, fx.cdc_messages(spark, sf))
+    store, seen = ChangelogStore(spark, f"{folder}/store"), {}
+    for seq, late in enumerate((False, True)):
+        batch = records.where((F.col("offset") > middle) == late)
+        broken = F.when(F.col("offset") % 50 == 0, F.raise_error(F.lit("disk full")).cast("boolean")).otherwise(F.lit(True))
+        try:
+            ingest.ingest_batch(store, batch, seq, OPTIONS, steps=[lambda rows: rows.where(broken)])
+        except Exception as error:
+            if "disk full" not in str(error):
+                raise
+        seen[seq] = store.changelog().where(F.col("commit_seq") == seq).count()
+        ingest.ingest_batch(store, batch, seq, OPTIONS)
+    left = F.create_map(*[F.lit(n) for pair in seen.items() for n in pair])
+    return store.changelog().groupBy("commit_seq").agg(F.count(F.lit(1)).alias("records")).withColumn(
+        "seen_after_failure", left[F.col("commit_seq").cast("int")])
+
+
+@query("snk_8_created_table", over_valid("SELECT id, dedup_key, version, type FROM valid WHERE tbl = 'web.clicks'"))
+def created_table(spark, sf):
+    """The eight columns of a target table, in a catalog."""
+    name = f"made_{uuid.uuid4().hex[:12]}.clicks"
+    tables.create_table(spark, name)
+    rows = fx.valid_rows(spark, sf).where(F.col("iceberg_table") == "web.clicks")
+    envelope.to_target(rows).write.insertInto(name)
+    return spark.table(name).select("id", "dedup_key", "version", "type")
+
+
+@query("rte_2_map_text", over_valid("SELECT id, tbl AS iceberg_table FROM valid"))
+def map_text(spark, sf):
+    mapping = parse_topic_map(" evt-click : no.such , evt-error:ops.errors, broken, a:b:c ,evt-click:web.clicks")
+    rows = envelope.parse_envelopes(fx.cdc_messages(spark, sf), "default", mapping)
+    return envelope.split_errors(rows)[0].select("id", "iceberg_table")
