@@ -6,8 +6,9 @@ its dart of lowest rank, so two documents agree in a coordinate with the probabi
 similarity. A dart field is thrown only as far up as a document needs, for all shingles at once, not per coordinate.
 
 Signatures are cut into bands. Documents that share a band are linked to one of them, the links are verified on whole
-shingle sets, and linked documents become components. Where documents of one band still lie in different components,
-all pairs of them that can be similar at all are verified, so no link depends on which of them was chosen.
+shingle sets, and linked documents become components. Documents of a band that are not in the component of its centre get
+a centre of their own, for a few rounds. Where documents of one band still lie in different components, all pairs of
+them that can be similar at all are verified, so no link depends on which of them was chosen.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from tidelog.operators.joins import join_per_key
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 35, 5  # a pair of similarity 0.8 shares no band once in a million
+ROUNDS = 2  # of new centres for what is not linked to a band's centre
 _BATCH = 64
 
 _WORD = np.zeros(256, dtype=bool)
@@ -258,10 +260,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
         two = sets.select(F.col("node").alias("b"), F.col("elements").alias("ys"))
         return join_per_key(join_per_key(pairs, one, ["a"], "inner"), two, ["b"], "inner")
 
-    sized = with_sets(_stars(shared)).withColumns({"na": F.size("xs"), "nb": F.size("ys"), "c": _compared("xs", "ys")})
+    ranked = _ranked(shared)
+    centres = written(_centres(ranked), "centres")
+    sized = with_sets(_stars(ranked, centres)).withColumns({"na": F.size("xs"), "nb": F.size("ys"), "c": _compared("xs", "ys")})
     stars = written(sized.select("a", "b", "na", "nb", "c.*"), "stars")
     links = stars.filter(F.col("near") >= similarity).select("a", "b")
     labels = connected_components(links)
+    for _ in range(ROUNDS):
+        left = written(_open_members(ranked, centres, labels), "open-members")
+        if left.isEmpty():
+            break
+        fresh = written(_centres(left), "centres")
+        found = with_sets(_stars(left, fresh)).filter(_similarity("xs", "ys") >= similarity).select("a", "b")
+        links = written(links.unionByName(found), "links-so-far")
+        labels = connected_components(links)
+        centres = centres.unionByName(fresh)
     apart = _pairs_apart(stars, labels, similarity)
     near = with_sets(apart).filter(_similarity("xs", "ys") >= similarity).select("a", "b")
     more = written(near, "cross-links")
@@ -285,29 +298,48 @@ def _one_text_each(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.filter("i = 1").select("node", "text")
 
 
-def _stars(shared: DataFrame) -> DataFrame:
-    """a, b: in each band, the links of its most central node (a) to the others.
-
-    Central is the node whose bands hold the most nodes together: the text that others were made of, where there is one.
-    """
+def _ranked(shared: DataFrame) -> DataFrame:
+    """node, band, reach: how many nodes the bands of a node hold together. The text that others were made of, where there
+    is one, reaches the most."""
     sizes = shared.groupBy("band").agg(F.count("*").alias("size"))
     sized = join_per_key(shared, sizes, ["band"], "inner")
     central = sized.groupBy("node").agg(F.sum("size").alias("reach"))
-    ranked = written(join_per_key(shared, central, ["node"], "inner"), "ranked-bands")
-    centres = ranked.groupBy("band").agg(F.max(F.struct("reach", "node")).alias("top")).select("band", F.col("top.node").alias("centre"))
+    return written(join_per_key(shared, central, ["node"], "inner"), "ranked-bands")
+
+
+def _centres(ranked: DataFrame) -> DataFrame:
+    """band, centre: its node of the greatest reach."""
+    return ranked.groupBy("band").agg(F.max(F.struct("reach", "node")).alias("top")).select("band", F.col("top.node").alias("centre"))
+
+
+def _stars(ranked: DataFrame, centres: DataFrame) -> DataFrame:
+    """a, b: in each band, the links of its centre (a) to the others."""
     met = join_per_key(ranked, centres, ["band"], "inner").filter("node <> centre")
     return met.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
 
 
+def _open_members(ranked: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``ranked`` outside the components of all centres that their band has had, where a band has several."""
+    def labelled(rows: DataFrame, node: str) -> DataFrame:
+        own = labels.select(F.col("node").alias(node), "label")
+        return join_per_key(rows, own, [node], "left").withColumn("label", F.coalesce("label", node))
+
+    taken = labelled(centres, "centre").select("band", "label").distinct()
+    left = join_per_key(labelled(ranked, "node"), taken, ["band", "label"], "left_anti").select(*ranked.columns)
+    several = left.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("last")).filter("least <> last")
+    return join_per_key(left, several.select("band"), ["band"], "left_semi")
+
+
 def _pairs_apart(stars: DataFrame, labels: DataFrame, t: float) -> DataFrame:
     """Pairs a < b that may be similar, compared with one centre c, not both linked to it, in different components.
 
     Let Dx and Dy be the sizes of the symmetric differences of x and y with c, S the size of what these have in common
     and r = (1 - t) / (1 + t). Similarity t means that x and y differ in at most r (|x| + |y|) elements, that is
-    2 S >= Dx + Dy - r (|x| + |y|). If x is not linked to c, Dx > r (|x| + |c|), so 2 S > Dy + r (|c| - |y|); and as
-    Dx >= Dy - r (|x| + |y|) and |x| <= |y| / t, S >= Dy - (1 - t) / t |y|. Hence x shares with y one of the first
-    Dy - S + 1 differences of y in any fixed order. Differences are ordered with elements that c lacks first, which are
-    the rare ones among copies of c, and a pair is met only where enough differences can follow.
+    2 S >= Dx + Dy - r (|x| + |y|). If x is not linked to c, Dx > r (|x| + |c|), so 2 S > Dy + r (|c| - |y|). What Dx has
+    and Dy has not is a difference of x and y, and |y| <= |x| / t, so S >= Dx - r (|x| + |y|) >= Dx - (1 - t) / t |x|;
+    likewise S >= Dy - (1 - t) / t |y|. Hence, in any fixed order, the first element that both differences have is among the
+    first D - S + 1 of either. Differences are ordered by their number in the star, the rarest first: what many members
+    have in common comes last, where hardly any pair can begin with it. A pair is met only where enough can follow.
     """
     r = (1 - t) / (1 + t)
     open_centres = stars.filter(F.col("near") < t).select("a").distinct()
@@ -315,10 +347,15 @@ def _pairs_apart(stars: DataFrame, labels: DataFrame, t: float) -> DataFrame:
     around = join_per_key(around.withColumnRenamed("b", "node"), labels, ["node"], "left")
     around = written(around.select("a", "node", F.coalesce("label", "node").alias("label"), "near", "na", F.col("nb").alias("n"),
                                    F.size("diff").alias("d"), "diff"), "differences")
-    least = F.greatest(F.ceil((F.col("d") + r * (F.col("na") - F.col("n"))) / 2 - 1e-6), F.ceil(F.col("d") - (1 - t) / t * F.col("n") - 1e-6), F.lit(1))
-    first = F.slice("diff", F.lit(1), F.greatest(F.col("d") - least + 1, F.lit(0)).cast("int"))
-    x = around.filter(F.col("near") < t).select("a", *[F.col(c).alias(c + "x") for c in ("node", "label", "n", "d")], F.posexplode("diff").alias("ix", "e"))
-    y = around.select("a", *[F.col(c).alias(c + "y") for c in ("node", "label", "n", "d")], F.posexplode(first).alias("iy", "e"))
+    around = written(_rarest_first(around), "ordered-differences")
+    own = F.ceil(F.col("d") - (1 - t) / t * F.col("n") - 1e-6)
+    of_linked = F.ceil((F.col("d") + r * (F.col("na") - F.col("n"))) / 2 - 1e-6)
+
+    def first(least):
+        return F.slice("diff", F.lit(1), F.greatest(F.col("d") - F.greatest(least, F.lit(1)) + 1, F.lit(0)).cast("int"))
+
+    x = around.filter(F.col("near") < t).select("a", *[F.col(c).alias(c + "x") for c in ("node", "label", "n", "d")], F.posexplode(first(own)).alias("ix", "e"))
+    y = around.select("a", *[F.col(c).alias(c + "y") for c in ("node", "label", "n", "d")], F.posexplode(first(F.greatest(own, of_linked))).alias("iy", "e"))
     common = (F.col("dx") + F.col("dy") - r * (F.col("nx") + F.col("ny"))) / 2
     enough = F.least(F.col("dx") - F.col("ix"), F.col("dy") - F.col("iy")) >= common - 1e-6
     sizes = (F.col("nx") >= t * F.col("ny")) & (F.col("ny") >= t * F.col("nx"))
@@ -326,6 +363,16 @@ def _pairs_apart(stars: DataFrame, labels: DataFrame, t: float) -> DataFrame:
     return met.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
 
 
+def _rarest_first(around: DataFrame) -> DataFrame:
+    """The rows with each difference in order of its number of members in the star, then of its value."""
+    posted = around.select("a", "node", F.explode("diff").alias("e"))
+    counts = posted.groupBy("a", "e").agg(F.count("*").alias("times")).filter("times > 1")
+    counted = join_per_key(posted, counts, ["a", "e"], "left")
+    entry = F.struct(F.coalesce("times", F.lit(1)).alias("times"), "e")
+    ordered = counted.groupBy("a", "node").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    return around.drop("diff").join(ordered.select("a", "node", F.col("entries.e").alias("diff")), ["a", "node"])
+
+
 def _classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     of_node = nodes.select("node", "first_id", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = of_node.groupBy("label").agg(F.min("first_id").alias("class_id"))
