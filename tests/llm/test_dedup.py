@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tidelog.llm.components import connected_components
-from tidelog.llm.fingerprint import Sketches, digests, edited_text, fingerprint_documents, likeness
+from tidelog.llm.fingerprint import Sketches, digests, edited_text, fingerprint_documents, likeness, with_successor
 from tidelog.llm.linedup import common_blocks, dedup_lines, patience
 from tidelog.llm.neardup import bands_of, dart_signatures, first_of_classes, near_duplicates, shingle_hashes
 
@@ -206,3 +206,33 @@ def test_fingerprints_follow_falling_ids(spark, buckets, monkeypatch):
     alone = fingerprint_documents(frame.filter("doc_id = 500")).collect()
     assert len(alone) == 1 and alone[0]["near_next"] == 1.0
     assert fingerprint_documents(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 20, 200])
+def test_successors_where_ids_are_missing_or_repeated(spark, buckets):
+    """A third without an id and a third under one id are spread over buckets, and still follow each other in order."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i % 80 if i % 2 else i}") for i in range(600)]
+    rows += [(2**63 - 1, "greatest"), (2**63 - 1, "greatest too"), (-(2**63), None)]
+    found = with_successor(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), buckets).collect()
+    by_bucket = {}
+    for r in found:
+        by_bucket.setdefault(r["bucket"], []).append(r)
+    own = [[r for r in by_bucket[b] if not r["guest"]] for b in sorted(by_bucket)]
+    flat = [(r["doc_id"], r["text"]) for rows_of in own for r in rows_of]
+    assert sorted(flat, key=str) == sorted(((i, t or "") for i, t in rows), key=str)
+    places = [(i is None, -(i or 0)) for i, _ in flat]
+    assert places == sorted(places)
+    for here, after in zip(sorted(by_bucket), own[1:] + own[:1]):
+        guests = [r for r in by_bucket[here] if r["guest"]]
+        assert by_bucket[here][-len(guests):] == guests and len(guests) > 0
+        assert {(r["doc_id"], r["text"]) for r in guests} == {(after[0]["doc_id"], after[0]["text"])}
+    if buckets == 20:
+        assert max(len(x) for x in own) < 100
+
+
+def test_likeness_in_lots(monkeypatch):
+    rng = random.Random(9)
+    sets = [digests(" ".join(words(rng.randint(0, 300)) + "." for _ in range(rng.randint(0, 90)))) for _ in range(30)]
+    whole = likeness(sets, sets[1:] + sets[:1])
+    monkeypatch.setattr("tidelog.llm.fingerprint._CELLS_AT_ONCE", 200)
+    assert likeness(sets, sets[1:] + sets[:1]).tolist() == whole.tolist()

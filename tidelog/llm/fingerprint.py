@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import small_batches
@@ -25,7 +25,9 @@ CELLS = 24
 GROWTH = 4
 LONGEST_PIECE = 160
 _PIECE = re.compile(r"[^.!?\n]+[.!?]*|[.!?\n]+")
-_BATCH = 512
+_BATCH = 512  # texts compared at a time, unless they are long
+_BATCH_CHARS = 4_000_000
+_CELLS_AT_ONCE = 1 << 19
 
 
 def pieces(text: str) -> list[str]:
@@ -131,19 +133,22 @@ def likeness(ours: list[np.ndarray], theirs: list[np.ndarray], cells: int = CELL
     """Shared part of each pair of digest multisets (intersection over union, 1 for two empty ones).
 
     The difference is recovered from sketches of ``cells`` cells; pairs that do not peel are sketched anew with four
-    times as many, until all have.
+    times as many, until all have; of these so many at a time that their cells take a bounded part of memory.
     """
     out = np.zeros(len(ours))
     todo = np.arange(len(ours))
     while len(todo):
-        a, b = sketched or (Sketches([ours[i] for i in todo], cells), Sketches([theirs[i] for i in todo], cells))
-        left, right, whole = a.minus(b).peel()
-        sizes_a, sizes_b = (np.array([len(s[i]) for i in todo]) for s in (ours, theirs))
-        common, union = sizes_a - left, sizes_b + left
-        whole &= (common >= 0) & (sizes_b - right == common)
-        value = np.where(union > 0, common / np.maximum(union, 1), 1.0)
-        out[todo[whole]] = value[whole]
-        todo, cells, sketched = todo[~whole], cells * GROWTH, None
+        left_open, lot = [], max(_CELLS_AT_ONCE // cells, 1) if sketched is None else len(todo)
+        for some in (todo[i:i + lot] for i in range(0, len(todo), lot)):
+            a, b = sketched or (Sketches([ours[i] for i in some], cells), Sketches([theirs[i] for i in some], cells))
+            left, right, whole = a.minus(b).peel()
+            sizes_a, sizes_b = (np.array([len(s[i]) for i in some]) for s in (ours, theirs))
+            common, union = sizes_a - left, sizes_b + left
+            whole &= (common >= 0) & (sizes_b - right == common)
+            value = np.where(union > 0, common / np.maximum(union, 1), 1.0)
+            out[some[whole]] = value[whole]
+            left_open.append(some[~whole])
+        todo, cells, sketched = np.concatenate(left_open), cells * GROWTH, None
     return out
 
 
@@ -154,53 +159,73 @@ def edited_text(text: str, following: str) -> str:
 
 
 def with_successor(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Rows (bucket, doc_id, text, guest) such that, in a bucket by falling id (nulls last, then text hash and text),
-    every row but guests is followed by its successor in the whole table; the last row's successor is the first.
+    """Rows (bucket, guest, doc_id, text) such that, in a bucket by falling id (nulls last, then text hash), every row but
+    guests is followed by its successor in the whole table; the last row's successor is the first.
 
-    Buckets are ranges of ids between approximate quantiles, ties dealt by text hash. The first row of each bucket
-    is also a guest at the end of the one before. Only bucket bounds, a few numbers each, reach the driver.
+    Buckets are ranges of ids between approximate quantiles. An id that fills several quantiles, and the rows without an
+    id, are dealt in ranges of the text hash; only rows alike in id and text share a bucket whatever their number, and
+    stream through its task. The first row of each bucket is also a guest at the end of the one before. Only the bounds
+    of buckets, a few numbers each, reach the driver or are broadcast.
     """
     small_batches(docs.sparkSession)
     wanted = buckets or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shares = [i / wanted for i in range(1, wanted)] or [0.5]
-    cuts = plain.agg(F.percentile_approx("doc_id", shares, 10 * wanted).alias("cuts")).first()["cuts"]
-    cuts = sorted(set(cuts or []), reverse=True)
-    last = len(cuts)
-    dealt = plain.withColumns({
-        "bucket": F.when(F.col("doc_id").isNull(), last).otherwise(_bounds_at_or_above(cuts, F.col("doc_id"))),
-        "missing": F.col("doc_id").isNull(), "falling": F.bitwise_not("doc_id"), "mark": F.xxhash64("text")})
+    falling = F.bitwise_not("doc_id")
+    seen = plain.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("ids"),
+                     F.percentile_approx(falling, shares, 10 * wanted).alias("cuts")).first()
+    bounds, parts = _ranges(seen["cuts"] or [])
+    parts.append(-(-wanted * (seen["n"] - seen["ids"]) // max(seen["n"], 1)) or 1)  # of the rows without an id
+    before = np.concatenate([[0], np.cumsum(parts)[:-1]]).tolist()
+    dealt = plain.select(
+        "doc_id", "text", F.col("doc_id").isNull().alias("missing"), F.coalesce(falling, F.lit(0)).alias("falling"),
+        F.xxhash64("text").alias("mark"))
+    at = F.when(F.col("missing"), len(bounds) + 1).otherwise(_bounds_at_or_below(bounds, F.col("falling"))) + 1
+    share = (F.shiftright("mark", 33) + 2**30) * F.element_at(F.lit(parts), at)  # of 2^31, in order of the hash
+    dealt = dealt.withColumn("bucket", (F.element_at(F.lit(before), at) + F.shiftright(share, 31)).cast("int"))
     place = F.struct("missing", "falling", "mark")
-    firsts = dealt.groupBy("bucket").agg(F.min(place).alias("first")).orderBy("bucket").collect()  # a row per bucket
-    into = [(r["first"], firsts[i - 1]["bucket"]) for i, r in enumerate(firsts)]  # the first goes behind the last
-    by_bucket = {r["bucket"]: target for r, (_, target) in zip(firsts, into)}
-    first_of = {r["bucket"]: r["first"]["mark"] for r in firsts}
-    id_of = {r["bucket"]: r["first"]["falling"] for r in firsts}
-
-    def known(values, kind):
-        return F.element_at(F.array(*[F.lit(values.get(b)).cast(kind) for b in range(last + 1)]), F.col("bucket") + 1)
-
-    is_first = (F.col("mark") == known(first_of, "long")) & F.col("falling").eqNullSafe(known(id_of, "long"))
-    guest = F.struct(known(by_bucket, "int").alias("bucket"), F.lit(True).alias("guest"))
-    own = F.struct(F.col("bucket").cast("int").alias("bucket"), F.lit(False).alias("guest"))
-    seats = F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own)))
+    firsts = dealt.groupBy("bucket").agg(F.min(place).alias("first"))  # a row per bucket
+    order = Window.orderBy("bucket")
+    last = F.max("bucket").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    firsts = firsts.select("bucket", "first", F.coalesce(F.lag("bucket").over(order), last).alias("into"))
+    own = F.struct(F.col("bucket"), F.lit(False).alias("guest"))
+    guest = F.struct(F.col("into").alias("bucket"), F.lit(True).alias("guest"))
+    seats = F.explode(F.when(place == F.col("first"), F.array(own, guest)).otherwise(F.array(own)))
     return (
-        dealt.withColumn("seat", seats).select("seat.*", "missing", "falling", "mark", "doc_id", "text")
+        dealt.join(F.broadcast(firsts), "bucket").select(seats.alias("seat"), "missing", "falling", "mark", "doc_id", "text")
+        .select("seat.*", "missing", "falling", "mark", "doc_id", "text")
         .repartition("bucket").sortWithinPartitions("bucket", "guest", "missing", "falling", "mark")
         .select("bucket", "guest", "doc_id", "text")
     )
 
 
-def _bounds_at_or_above(falling: list[int], value) -> Column:
-    """How many of the bounds are at or above the value: first among every k-th of them, then between two of those."""
-    if not falling:
+def _ranges(cuts: list[int]) -> tuple[list[int], list[int]]:
+    """Least values of all ranges but the first, and into how many parts each range is to be cut.
+
+    ``cuts`` are quantiles. A value met more than once is a range of its own, in one part more than it was met.
+    """
+    starts, parts = [], [1]
+    for cut, times in sorted(Counter(cuts).items()):
+        if starts and starts[-1] == cut:  # the value after one that was met more than once
+            parts[-1] = times + 1 if times > 1 else 1
+        else:
+            starts.append(cut)
+            parts.append(times + 1 if times > 1 else 1)
+        if times > 1 and cut < 2**63 - 1:
+            starts.append(cut + 1)
+            parts.append(1)
+    return starts, parts
+
+
+def _bounds_at_or_below(rising: list[int], value: Column) -> Column:
+    """How many of the bounds are at or below the value: first among every k-th of them, then between two of those."""
+    if not rising:
         return F.lit(0)
-    step = max(int(len(falling) ** 0.5), 1)
-    groups = [falling[i:i + step] for i in range(0, len(falling), step)]
-    heads = F.lit([g[-1] for g in groups])
-    whole = F.size(F.filter(heads, lambda b: b >= value))  # groups that lie at or above as a whole
+    step = max(int(len(rising) ** 0.5), 1)
+    groups = [rising[i:i + step] for i in range(0, len(rising), step)]
+    whole = F.size(F.filter(F.lit([g[-1] for g in groups]), lambda b: b <= value))  # groups that lie at or below as a whole
     rest = F.element_at(F.array(*[F.lit(g) for g in groups], F.array().cast("array<bigint>")), whole + 1)
-    return F.least(whole * step, F.lit(len(falling))) + F.size(F.filter(rest, lambda b: b >= value))
+    return F.least(whole * step, F.lit(len(rising))) + F.size(F.filter(rest, lambda b: b <= value))
 
 
 FINGERPRINTS = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -216,13 +241,15 @@ def fingerprint_documents(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
         for batch in batches:
-            ids = batch["doc_id"].astype("Int64")
-            for start in range(0, len(batch), _BATCH):
-                part = batch.iloc[start:start + _BATCH]
-                here = ids.iloc[start:start + _BATCH]
-                held += [(b, g, i, t, digests(t)) for b, g, i, t in zip(part["bucket"], part["guest"], here, part["text"])]
-                yield _compared(held, cells)
-                held = held[-1:]
+            chars = 0
+            for b, g, i, t in zip(batch["bucket"], batch["guest"], batch["doc_id"].astype("Int64"), batch["text"]):
+                held.append((b, g, i, t, digests(t)))
+                chars += len(t)
+                if len(held) > _BATCH or chars >= _BATCH_CHARS:
+                    yield _compared(held, cells)
+                    held, chars = held[-1:], 0
+            yield _compared(held, cells)
+            held = held[-1:]
 
     return with_successor(docs).mapInPandas(rows, FINGERPRINTS)
 
