@@ -1,6 +1,7 @@
 """Every stage on what its predecessor kept, and the decisions of each checked on its own input."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_dedup import shingles
@@ -88,3 +89,27 @@ def test_good_documents_are_never_thinned(spark, tmp_path, n_toxic, n_poor):
     others = [i for i in kept if i >= 1000]
     assert len(others) == len(set(others))
     assert len(others) == n_toxic + n_poor if n_toxic == 12 else len(others) < n_toxic + n_poor
+
+
+EXTRA = {"_mark": "x", "_row_id": "y", "_id": "z", "_gone": "u", "_times": "v", "_n": "w", "n_deleted": "t", "_nth": "s", "_doc": "r", "_text": "q"}
+
+
+@pytest.mark.parametrize("stage", [1, 2, 3])
+def test_clashing_columns_keep_their_values(spark, stage):
+    """Columns named as the stages' own, null ids and texts, and repeated rows: the same documents as without them."""
+    plain = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = plain.limit(3).withColumn("doc_id", F.lit(None).cast("bigint")).unionByName(plain.limit(2).withColumn("text", F.lit(None).cast("string")))
+    plain = plain.unionByName(odd).unionByName(odd)
+    docs = plain.withColumns({name: F.lit(value) for name, value in EXTRA.items()})
+    found = corpus_pipeline.STAGES[stage][1](spark, docs, SF)
+    assert found.columns == docs.columns
+    rows = found.collect()
+    assert rows and all({name: r[name] for name in EXTRA} == EXTRA for r in rows)
+    wanted = corpus_pipeline.STAGES[stage][1](spark, plain, SF).collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in rows) == sorted((str(r["doc_id"]), r["text"] or "") for r in wanted)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_of_nothing(spark, stage):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    assert corpus_pipeline.STAGES[stage][1](spark, docs, SF).count() == 0

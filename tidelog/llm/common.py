@@ -17,6 +17,16 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def free_names(rows: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores at its end as it takes to be no column of the rows (in any case)."""
+    taken, out = {c.lower() for c in rows.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of at most so many rows, unless the session has a setting of its own: texts may be long."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import written
+from tidelog.llm.common import free_names, written
 from tidelog.operators.joins import join_per_key
 
 MIN_WORDS = 4
@@ -210,20 +210,21 @@ def doomed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return found.groupBy("row_id", "mark").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of ``docs`` with the text deduplicated, and ``n_deleted`` (lines gone): one row per row of ``docs``.
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, count_as: str = "n_deleted") -> DataFrame:
+    """All columns of ``docs`` with the text deduplicated, and ``count_as`` (lines gone): one row per row of ``docs``.
 
     A document is later if its id is greater, for equal ids if its text's hash is; a null id is last. Rows alike in id
     and text are one document: none is later, and all lose the same lines. Every line of at least ``min_words`` words
     (or 5 x ``min_words`` characters) stays in the first document that holds it. Shorter and blank lines go only inside a longer common block. Lines are
     compared without blanks, tabs and returns at their ends; a null or empty text stays as it is. A column of ``docs``
-    named n_deleted is replaced.
+    named as ``count_as`` is replaced; any other name may be there.
     """
-    gone = doomed_lines(docs, min_words).withColumnsRenamed({"row_id": "_row_id", "mark": "_mark", "gone": "_gone"})
-    others = [c for c in docs.columns if c != "n_deleted"]
-    keyed = docs.select(*others, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_row_id"), F.xxhash64("text").alias("_mark"))
-    met = keyed.join(gone, ["_row_id", "_mark"], "left")
+    row_id, mark, gone = free_names(docs, "_row_id", "_mark", "_gone")
+    doomed = doomed_lines(docs, min_words).withColumnsRenamed({"row_id": row_id, "mark": mark, "gone": gone})
+    others = [c for c in docs.columns if c.lower() != count_as.lower()]
+    keyed = docs.select(*others, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias(row_id), F.xxhash64("text").alias(mark))
+    met = keyed.join(doomed, [row_id, mark], "left")
     lines = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
-    return met.select(*[text.alias("text") if c == "text" else c for c in others], F.coalesce(F.size("_gone"), F.lit(0)).alias("n_deleted"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    return met.select(*[text.alias("text") if c == "text" else c for c in others], F.coalesce(F.size(gone), F.lit(0)).alias(count_as))

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import bounded_sample, word_list, written
+from tidelog.llm.common import bounded_sample, free_names, word_list, written
 
 log = logging.getLogger(__name__)
 
@@ -247,10 +247,11 @@ def drawn(docs: DataFrame, mixed: DataFrame) -> DataFrame:
 
     ``mixed`` is :func:`mix_to_weights` of the same documents; all columns stay as they are.
     """
+    own, mark, doc, text, many, nth = free_names(docs, "_id", "_mark", "_doc", "_text", "_times", "_n")
     chance = (F.shiftrightunsigned(F.xxhash64("doc_id", "mark", F.lit(7)), 11)) * F.lit(2.0**-53)
-    times = mixed.groupBy("doc_id", "mark").agg(F.max(F.floor(F.col("rate") + chance)).cast("int").alias("_times"))
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_mark": F.xxhash64("text")})
-    named = times.withColumnsRenamed({"doc_id": "_doc", "mark": "_text"})
-    met = keyed.join(named, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("_text")))
-    again = met.filter("_times > 0").withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    times = mixed.groupBy("doc_id", "mark").agg(F.max(F.floor(F.col("rate") + chance)).cast("int").alias(many))
+    keyed = docs.withColumns({own: F.col("doc_id").cast("long"), mark: F.xxhash64("text")})
+    named = times.withColumnsRenamed({"doc_id": doc, "mark": text})
+    met = keyed.join(named, F.col(own).eqNullSafe(F.col(doc)) & (F.col(mark) == F.col(text)))
+    again = met.filter(F.col(many) > 0).withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(many))))
     return again.select(*docs.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import small_batches, small_side, written
+from tidelog.llm.common import free_names, small_batches, small_side, written
 from tidelog.llm.components import connected_components
 from tidelog.operators.joins import join_per_key
 
@@ -392,9 +392,10 @@ def first_of_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """
     place = F.struct(F.col("doc_id").isNull().alias("missing"), _row_id().alias("row_id"), "mark")
     firsts = classes.filter("class_key IS NOT NULL").groupBy("class_key").agg(F.min(place).alias("first")).select("first.row_id", "first.mark")
-    chosen = firsts.withColumnsRenamed({"row_id": "_row_id", "mark": "_mark"})
-    keyed = docs.withColumns({"_row_id": _row_id(), "_mark": F.xxhash64("text")})
-    once = Window.partitionBy("_row_id", "_mark").orderBy("_row_id")
-    met = keyed.join(chosen, ["_row_id", "_mark"]).withColumn("_nth", F.row_number().over(once))
+    row_id, mark, nth = free_names(docs, "_row_id", "_mark", "_nth")
+    chosen = firsts.withColumnsRenamed({"row_id": row_id, "mark": mark})
+    keyed = docs.withColumns({row_id: _row_id(), mark: F.xxhash64("text")})
+    once = Window.partitionBy(row_id, mark).orderBy(row_id)
+    met = keyed.join(chosen, [row_id, mark]).withColumn(nth, F.row_number().over(once))
     empty = docs.filter("text IS NULL OR text = ''")
-    return met.filter("_nth = 1").select(*docs.columns).unionByName(empty)
+    return met.filter(F.col(nth) == 1).select(*docs.columns).unionByName(empty)
