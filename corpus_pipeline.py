@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import written
+from tidelog.llm.common import free_names, written
 from tidelog.llm.linedup import dedup_lines
 from tidelog.llm.mixing import drawn, mix_to_weights
 from tidelog.llm.neardup import first_of_classes, near_duplicates
@@ -32,8 +32,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks they share with earlier ones; those of which nothing is left go."""
-    left = dedup_lines(docs).filter((F.col("n_deleted") == 0) | (F.trim(F.coalesce("text", F.lit(""))) != ""))
-    counted = F.when(F.col("n_deleted") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    gone = F.col(free := free_names(docs, "n_deleted")[0])
+    left = dedup_lines(docs, count_as=free).filter((gone == 0) | (F.trim(F.coalesce("text", F.lit(""))) != ""))
+    counted = F.when(gone > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", counted).select(*docs.columns)
 
 
