@@ -2,11 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidelog.llm import chat
+from tidelog.llm import chat, pieces
 from tidelog.llm.pieces import Segmenter, cheapest, encode_documents, load_vocabulary
 
 
@@ -109,3 +110,33 @@ def test_conversations(spark):
     rows = {r["conv_id"]: r for r in chat.conversation_digests(chat.format_conversations(turns)).collect()}
     assert {k: (r["n_turns"], r["loss_chars"]) for k, r in rows.items()} == {1: (2, 3), None: (1, 0), 2: (2, 2)}
     assert chat.conversation_digests(chat.format_conversations(turns.limit(0))).count() == 0
+
+
+def test_parts_side_by_side_equal_the_search(own):
+    """Scripts, characters that are no piece, half pairs, long runs: ids, score and cost of the second best."""
+    rng = random.Random(4)
+    parts = ["".join(rng.choice("ab \u00e9\u4e2d\U0001f600\u0301tion\ud800") for _ in range(rng.randint(1, 30))) for _ in range(800)]
+    parts = list(dict.fromkeys([*parts, "\n", " ", " " * 40, "a" * 48, " the", " internationalisation"]))
+    length, score, cost, ids = own.edges.search(parts)
+    ends = np.cumsum(length)
+    assert ends[-1] == len(ids)
+    for part, n, s, c, end in zip(parts, length, score, cost, ends):
+        found = own.best(part, 2)
+        assert found[0] == (s, tuple(ids[end - n:end].tolist()))
+        assert c == (found[0][0] - found[1][0] if len(found) > 1 else pieces._NONE)
+        assert own._two_best(part) == (s, list(found[0][1]), c)
+
+
+def test_learning_in_lots_changes_nothing(own, monkeypatch):
+    texts = [" ".join(f"word{i * j % 37} \u4e2d{i}" for j in range(30)) + "\n" * (i % 3) + "x" * 60 for i in range(40)] + ["", None]
+    own.forget()
+    wanted = [own.encode(t, 3) for t in texts]
+    monkeypatch.setattr(pieces, "_SIDE_BY_SIDE", 50)
+    monkeypatch.setattr(pieces, "PARTS_KEPT", 60)
+    own.forget()
+    for at in range(0, len(texts), 5):
+        own.learn(texts[at:at + 5])
+        for t, (ids, found) in zip(texts[at:at + 5], wanted[at:at + 5]):
+            got = own.encode(t, 3)
+            assert got[0].tolist() == ids.tolist() and got[1] == found
+    own.forget()
