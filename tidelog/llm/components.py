@@ -13,8 +13,9 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     In each round every node is merged into its smallest neighbour (or stays if it is smaller), and links are redrawn
     between what remains, so at least half of the nodes that still have links go. Nodes without links have no row.
+    Repeated links do no harm. The labels are broadcast by joins if they are few (:func:`small_side`).
     """
-    edges = written(links.filter("a <> b").select("a", "b").distinct(), "links")
+    edges = written(links.filter("a <> b").select("a", "b"), "links")
     steps = []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -30,4 +31,4 @@ def connected_components(links: DataFrame) -> DataFrame:
     for step in steps[1:]:
         onward = step.select(F.col("a").alias("label"), "p")
         labels = labels.join(onward, "label", "left").select("node", F.coalesce("p", "label").alias("label"))
-    return written(labels, "components") if len(steps) > 1 else labels
+    return small_side(labels, "components") if len(steps) > 1 else labels

@@ -250,27 +250,25 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
     nodes = written(
         known.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.max("n").alias("n"),
                                   F.min(F.struct(_row_id().alias("row_id"), "mark")).alias("row")), "nodes")
-    members = known.select("node", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("last")).filter("least <> last")
-    shared = written(join_per_key(members, buckets.select("band"), ["band"], "left_semi").distinct(), "shared-bands")
-    sets = written(_shingle_sets(_one_text_each(docs, shared.select("node").distinct().join(nodes, "node")), weighted), "shingle-sets")
+    ranked = written(_ranked(known), "ranked-bands")
+    sets = written(_shingle_sets(_one_text_each(docs, nodes.join(ranked.select("node"), "node", "left_semi")), weighted), "shingle-sets")
 
     def with_sets(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("node").alias("a"), F.col("elements").alias("xs"))
         two = sets.select(F.col("node").alias("b"), F.col("elements").alias("ys"))
-        return join_per_key(join_per_key(pairs, one, ["a"], "inner"), two, ["b"], "inner")
+        return join_per_key(pairs, one, ["a"], "inner").join(two, "b")  # a may be a centre of many, b is in few stars
 
-    ranked = _ranked(shared)
     centres = written(_centres(ranked), "centres")
     sized = with_sets(_stars(ranked, centres)).withColumns({"na": F.size("xs"), "nb": F.size("ys"), "c": _compared("xs", "ys")})
     stars = written(sized.select("a", "b", "na", "nb", "c.*"), "stars")
     links = stars.filter(F.col("near") >= similarity).select("a", "b")
     labels = connected_components(links)
+    left = ranked
     for _ in range(ROUNDS):
-        left = written(_open_members(ranked, centres, labels), "open-members")
-        if left.isEmpty():
-            break
+        left = written(_open_members(left, centres, labels), "open-members")
         fresh = written(_centres(left), "centres")
+        if fresh.isEmpty():
+            break
         found = with_sets(_stars(left, fresh)).filter(_similarity("xs", "ys") >= similarity).select("a", "b")
         links = written(links.unionByName(found), "links-so-far")
         labels = connected_components(links)
@@ -298,18 +296,20 @@ def _one_text_each(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.filter("i = 1").select("node", "text")
 
 
-def _ranked(shared: DataFrame) -> DataFrame:
-    """node, band, reach: how many nodes the bands of a node hold together. The text that others were made of, where there
-    is one, reaches the most."""
-    sizes = shared.groupBy("band").agg(F.count("*").alias("size"))
-    sized = join_per_key(shared, sizes, ["band"], "inner")
-    central = sized.groupBy("node").agg(F.sum("size").alias("reach"))
-    return written(join_per_key(shared, central, ["node"], "inner"), "ranked-bands")
+def _ranked(known: DataFrame) -> DataFrame:
+    """node, band, reach of bands that several nodes share. Reach: how many documents the shared bands of a node hold
+    together. The text that others were made of, where there is one, reaches the most."""
+    members = known.select("node", F.explode("bands").alias("band"))
+    buckets = members.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("last"), F.count("*").alias("size"))
+    sizes = buckets.filter("least <> last").select("band", "size")
+    shared = join_per_key(members, sizes, ["band"], "inner").distinct()
+    return shared.select("node", "band", F.sum("size").over(Window.partitionBy("node")).alias("reach"))
 
 
 def _centres(ranked: DataFrame) -> DataFrame:
-    """band, centre: its node of the greatest reach."""
-    return ranked.groupBy("band").agg(F.max(F.struct("reach", "node")).alias("top")).select("band", F.col("top.node").alias("centre"))
+    """band, centre: of bands of several nodes, that of the greatest reach."""
+    tops = ranked.groupBy("band").agg(F.max(F.struct("reach", "node")).alias("top"), F.count("*").alias("size"))
+    return tops.filter("size > 1").select("band", F.col("top.node").alias("centre"))
 
 
 def _stars(ranked: DataFrame, centres: DataFrame) -> DataFrame:
@@ -318,16 +318,17 @@ def _stars(ranked: DataFrame, centres: DataFrame) -> DataFrame:
     return met.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _open_members(ranked: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``ranked`` outside the components of all centres that their band has had, where a band has several."""
-    def labelled(rows: DataFrame, node: str) -> DataFrame:
-        own = labels.select(F.col("node").alias(node), "label")
-        return join_per_key(rows, own, [node], "left").withColumn("label", F.coalesce("label", node))
+def _labelled(rows: DataFrame, node: str, labels: DataFrame) -> DataFrame:
+    """The rows with the label of a node, itself if it has none; a node is in few of the rows."""
+    own = labels.select(F.col("node").alias(node), "label")
+    return rows.join(own, node, "left").withColumn("label", F.coalesce("label", node))
+
 
-    taken = labelled(centres, "centre").select("band", "label").distinct()
-    left = join_per_key(labelled(ranked, "node"), taken, ["band", "label"], "left_anti").select(*ranked.columns)
-    several = left.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("last")).filter("least <> last")
-    return join_per_key(left, several.select("band"), ["band"], "left_semi")
+def _open_members(ranked: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of ``ranked`` outside the components of all centres that their band has had. What was left out before stays
+    out, as components only grow."""
+    taken = _labelled(centres, "centre", labels).select("band", "label")
+    return join_per_key(_labelled(ranked, "node", labels), taken, ["band", "label"], "left_anti").select(*ranked.columns)
 
 
 def _pairs_apart(stars: DataFrame, labels: DataFrame, t: float) -> DataFrame:
@@ -344,8 +345,8 @@ def _pairs_apart(stars: DataFrame, labels: DataFrame, t: float) -> DataFrame:
     r = (1 - t) / (1 + t)
     open_centres = stars.filter(F.col("near") < t).select("a").distinct()
     around = join_per_key(stars, open_centres, ["a"], "left_semi").filter(F.size("diff") > 0)
-    around = join_per_key(around.withColumnRenamed("b", "node"), labels, ["node"], "left")
-    around = written(around.select("a", "node", F.coalesce("label", "node").alias("label"), "near", "na", F.col("nb").alias("n"),
+    around = _labelled(around.withColumnRenamed("b", "node"), "node", labels)
+    around = written(around.select("a", "node", "label", "near", "na", F.col("nb").alias("n"),
                                    F.size("diff").alias("d"), "diff"), "differences")
     around = written(_rarest_first(around), "ordered-differences")
     own = F.ceil(F.col("d") - (1 - t) / t * F.col("n") - 1e-6)
@@ -374,7 +375,7 @@ def _rarest_first(around: DataFrame) -> DataFrame:
 
 
 def _classes(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    of_node = nodes.select("node", "first_id", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    of_node = _labelled(nodes.select("node", "first_id", "copies"), "node", labels)
     names = of_node.groupBy("label").agg(F.min("first_id").alias("class_id"))
     named = join_per_key(of_node, names, ["label"], "left").select(
         "node", "class_id", F.col("label").alias("class_key"), "copies")
