@@ -1,5 +1,6 @@
 """Mixing, license scans and top-k search against brute force; queries against their SQL."""
 
+import math
 import random
 import re
 
@@ -86,6 +87,58 @@ def test_top_k_edge_cases(spark):
     assert exact_top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def brute_posteriors(texts, domain_of):
+    """Naive Bayes over which words a text holds and how its shares fall into halvings, from its definition."""
+    def features(text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())
+        size, n = max(len(text), 1), max(len(words), 1)
+        shares = [text.count(m) / size for m in mixing.MARKS] + [len(set(words)) / n, len(text) / n / 20]
+        return set(words), [min(max(math.floor(math.log2(x)) + 12, 0), 11) if x > 0 else 0 for x in shares], len(words)
+
+    known = [(domain_of[i], *features(texts[i])[:2]) for i in domain_of if i in texts]
+    domains = sorted({d for d, _, _ in known})
+    total = {d: sum(k == d for k, _, _ in known) for d in domains}
+    held = {w: [sum(k == d and w in ws for k, ws, _ in known) for d in domains] for _, own, _ in known for w in own}
+    share = {w: [(c + 0.5) / (total[d] + 1) for c, d in zip(cs, domains)] for w, cs in held.items()}
+    gain = {w: sum(c * math.log(c * len(known) / (sum(cs) * total[d])) for c, d in zip(cs, domains) if c) for w, cs in held.items()}
+    told = sorted((w for w, cs in held.items() if sum(cs) >= 5 and max(share[w]) >= 10 * min(share[w])), key=lambda w: (-gain[w], w))[:64]
+    out = {}
+    for i, text in texts.items():
+        own, bins, n = features(text)
+        logs = []
+        for j, d in enumerate(domains):
+            log = math.log(total[d] / len(known))
+            log += sum(math.log(share[w][j] if w in own else 1 - share[w][j]) for w in told)
+            if n:
+                log += sum(math.log((sum(k == d and b[at] == own_bin for k, _, b in known) + 0.5) / (total[d] + 6)) for at, own_bin in enumerate(bins))
+            logs.append(log)
+        raised = [math.exp(x - max(logs)) for x in logs]
+        out[i] = {d: x / sum(raised) for d, x in zip(domains, raised)}
+    return out, told
+
+
+def test_posteriors_against_brute_force(spark):
+    rng = random.Random(12)
+    kinds = {"good": "the study of rivers shows how water shapes land and soil".split(), "poor": "click buy now cheap offer win best".split(),
+             "toxic": "you idiot stupid shut up loser".split()}
+    texts, domain_of = {}, {}
+    for i in range(240):
+        kind = rng.choice(["good", "good", "poor", "toxic"])
+        words = [rng.choice(kinds[kind] if rng.random() < 0.7 else kinds["good"]) for _ in range(rng.randint(1, 25))]
+        texts[i] = " ".join(words) + rng.choice(["", ".", "!!!", " ###"])
+        if i % 3:
+            domain_of[i] = kind if rng.random() < 0.9 else "good"
+    texts |= {900: "", 901: "?!", 902: "Äpfel über click"}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id bigint, text string")
+    labelled = spark.createDataFrame(list(domain_of.items()), "id bigint, domain string")
+    model = mixing.learn_domains(docs, labelled)
+    wanted, told = brute_posteriors(texts, domain_of)
+    assert set(model["words"]) == set(told) and told
+    found = {r["doc_id"]: dict(zip(model["domains"], r["p"])) for r in mixing.posteriors(docs, model).collect()}
+    assert found.keys() == wanted.keys() and all(sum(p.values()) == mixing.GRID for p in found.values())
+    assert all(abs(found[i][d] - mixing.GRID * p) <= 1.001 for i, of in wanted.items() for d, p in of.items())
+
+
 def test_rates_meet_targets(spark):
     rng = random.Random(6)
     members = []
