@@ -28,6 +28,48 @@ def test_flat_trees_equal_a_plain_walk():
     assert ((forest.score(x) > 0.5) == (y > 0.5)).mean() > 0.95
 
 
+def brute_boosting(x, y, trees, depth, bins, rate=0.15, leaf_weight=2.0, ridge=1.0):
+    """Scores of the rows learned from: every cut of every node is tried on the rows themselves."""
+    share = (y.sum() + 0.5) / (len(y) + 1)
+    margin = np.full(len(y), np.log(share / (1 - share)))
+    cuts = [np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1])) for column in x.T]
+
+    def grown(inside, levels, grad, hess, add):
+        def loss_cut(mask):
+            return grad[mask].sum() ** 2 / (hess[mask].sum() + ridge)
+
+        best, sides = 1e-6, None
+        for f, of_feature in enumerate(cuts if levels else []):
+            for cut in of_feature:
+                left, right = inside & (x[:, f] <= cut), inside & (x[:, f] > cut)
+                if min(hess[left].sum(), hess[right].sum()) >= leaf_weight:
+                    gain = loss_cut(left) + loss_cut(right) - loss_cut(inside)
+                    if gain > best + 1e-9:
+                        best, sides = gain, (left, right)
+        if sides is None:
+            add[inside] = rate * grad[inside].sum() / (hess[inside].sum() + ridge)
+            return
+        for side in sides:
+            grown(side, levels - 1, grad, hess, add)
+
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-margin))
+        add = np.zeros(len(y))
+        grown(np.ones(len(y), dtype=bool), depth, y - p, p * (1 - p), add)
+        margin = margin + add
+    return 1 / (1 + np.exp(-margin))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_grown_trees_equal_a_search_over_all_cuts(seed):
+    rng = np.random.default_rng(seed)
+    x = np.column_stack([rng.normal(size=300), rng.integers(0, 6, 300), rng.exponential(size=300), np.ones(300)])
+    y = ((x[:, 0] + 0.3 * x[:, 1] - x[:, 2] + rng.normal(scale=0.5, size=300)) > 0.4).astype(float)
+    forest = grow_forest(x, y, trees=8, depth=3, bins=16)
+    assert len(forest.roots) == 8 and (forest.left != np.arange(len(forest.left))).sum() > 16
+    assert np.allclose(forest.score(x), brute_boosting(x, y, trees=8, depth=3, bins=16))
+
+
 @pytest.mark.parametrize("y, expected", [([], 0.5), ([1, 1, 1], 3.5 / 4)])
 def test_forest_without_two_classes(y, expected):
     forest = grow_forest(np.zeros((len(y), 2)), np.array(y, dtype=float))
