@@ -255,7 +255,8 @@ def shared_state(spark, sf):
     # A second key space, states shared by all topics, many deletes and unordered versions.
     rows = fx.table(spark, sf, "orders").select(
         F.col("o_custkey").cast("string").alias("dedup_key"), F.col("o_orderkey").alias("offset"),
-        (F.round("o_totalprice").cast("bigint") % 1000).alias("version"),
+        # A price of half a unit goes to the even neighbour, as SQL casts do here.
+        (F.rint("o_totalprice").cast("bigint") % 1000).alias("version"),
         F.when(F.col("o_orderstatus") == "P", "DELETE").otherwise("UPDATE").alias("type"))
     return versions.filter_versions(rows, scope=(), order=("offset",), chunk_bits=(8, 12)).select(
         F.col("offset").alias("o_orderkey"))

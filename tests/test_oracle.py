@@ -27,3 +27,12 @@ def test_query(spark, base, name):
 def test_entry(spark):
     assert entry.entry(spark).columns == ["iceberg_table", "dedup_key", "type", "version"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_half_prices_round_as_in_sql(spark, base, tmp_path):
+    # Half to even: 10.5 is version 10, which is not newer than 10; 11.5 is version 12.
+    orders = [(1, 1, "F", 10.0, "x"), (2, 1, "F", 10.5, "x"), (3, 1, "F", 11.5, "x"), (4, 1, "F", 12.0, "x")]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
+                          ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    found = entry.queries()["flt_5_shared_state"](spark, str(tmp_path))
+    assert sorted(r.o_orderkey for r in found.collect()) == [1, 3]
