@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 from tests.helpers import message, records
 from tidelog.functions import summary as S
 from tidelog.functions import text, times
-from tidelog.operators import tables
+from tidelog.operators import lineage, tables
 from tidelog.operators.envelope import parse_envelopes
 from tidelog.schemas import TARGET_COLUMNS
 
@@ -77,3 +77,11 @@ def test_scalar_functions(spark):
     assert [r.ms for r in found] == [1778933700000, 1776610800000, None]
     offsets = spark.sql("""SELECT '{"0":3,"12":9}' AS t""").select(S.offsets_from_json(F.col("t"))).first()[0]
     assert offsets == {0: 3, 12: 9}
+
+
+def test_latency_quantiles_are_exact_over_many_snapshots(spark):
+    # More distinct latencies than an approximate quantile keeps apart.
+    rows = spark.range(40_001).selectExpr("'t' AS table", "id AS snapshot_id", "id * 3 AS latency_ms")
+    few = spark.createDataFrame([("u", 1, 7), ("u", 2, None), ("u", 3, 9), ("u", 4, 9)], "table string, snapshot_id long, latency_ms long")
+    found = {r.table: tuple(r)[1:] for r in lineage.latency_distribution(rows.unionByName(few)).collect()}
+    assert found == {"t": (40_001, 0, 60_000, 114_000, 120_000), "u": (3, 7, 9, 9, 9)}

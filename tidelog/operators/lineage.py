@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import summary as S
@@ -57,13 +60,25 @@ def ingest_latency(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def latency_distribution(latencies: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    value = F.col("latency_ms")
-    return latencies.where(value.isNotNull()).groupBy("table").agg(
-        F.count(value).alias("snapshots"),
+def latency_distribution(latencies: DataFrame) -> DataFrame:
+    """Exact: a quantile is the smallest latency that at least its share of the snapshots do not exceed.
+
+    Snapshots are counted per latency before anything is ordered, and the order streams through a window.
+    """
+    value, count = F.col("latency_ms"), F.col("_count")
+    counted = latencies.where(value.isNotNull()).groupBy("table", "latency_ms").agg(F.count(F.lit(1)).alias("_count"))
+    upward = Window.partitionBy("table").orderBy("latency_ms").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumns(
+        {"_upto": F.sum(count).over(upward), "_all": F.sum(count).over(Window.partitionBy("table"))})
+
+    def quantile(share: str) -> Column:
+        return F.min(F.when(F.col("_upto") >= F.col("_all") * F.lit(Decimal(share)), value))
+
+    return ranked.groupBy("table").agg(
+        F.sum(count).alias("snapshots"),
         F.min(value).alias("min_ms"),
-        F.percentile_approx(value, 0.5, accuracy).alias("p50_ms"),
-        F.percentile_approx(value, 0.95, accuracy).alias("p95_ms"),
+        quantile("0.5").alias("p50_ms"),
+        quantile("0.95").alias("p95_ms"),
         F.max(value).alias("max_ms"),
     )
 
