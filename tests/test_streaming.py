@@ -157,3 +157,20 @@ def test_state_store_stream_equals_batch_filter(spark, tmp_path):
 
 def test_commit_interval():
     assert commit_trigger(options(**{"iceberg.control.commit.interval-ms": "10000"})) == {"processingTime": "10000 milliseconds"}
+
+
+def test_keys_share_state_buckets(spark, tmp_path):
+    from tests.test_versions import SCHEMA, expected, make
+    from tidelog.streaming.version_filter import stateful_filter
+    rows, source, made = make(5, 300, keys=40), str(tmp_path / "t"), []
+    rows.append(("t", None, 0, 999, None, "INSERT", "no key"))
+    for part in (rows[:150], rows[150:]):
+        drop(spark.createDataFrame(part, SCHEMA), source)
+        passed = stateful_filter(spark.readStream.schema(SCHEMA).parquet(source), buckets=3)
+        query = passed.writeStream.foreachBatch(lambda batch, _: made.extend(batch.collect())).option(
+            "checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    # Three groups with states, whatever the number of keys; every column comes back as it was.
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 3
+    wanted = {*expected(rows[:-1])[0], 999}
+    assert sorted(map(tuple, made), key=lambda r: r[3]) == sorted((r for r in rows if r[3] in wanted), key=lambda r: r[3])
