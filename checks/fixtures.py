@@ -102,9 +102,13 @@ def valid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.split_errors(rows_with_errors(spark, sf_dir))[0]
 
 
-def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = versions.chunk_levels(cdc_messages(spark, sf_dir))
-    return versions.filter_versions(valid_rows(spark, sf_dir), chunk_bits=levels)
+# What the version filter itself reads. It deals out and gathers whole rows, so other columns are left out before it.
+FILTER_COLUMNS = ("topic", "dedup_key", "partition", "offset", "version", "type")
+
+
+def accepted_rows(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    levels, rows = versions.chunk_levels(cdc_messages(spark, sf_dir)), valid_rows(spark, sf_dir)
+    return versions.filter_versions(rows.select(*columns) if columns else rows, chunk_bits=levels)
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -116,9 +120,9 @@ def changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(valid_rows(spark, sf_dir))
 
 
-def snapshots(spark: SparkSession, sf_dir: str, options=None) -> DataFrame:
-    """The snapshot log of that changelog; each commit is stamped five seconds after its newest record."""
-    rows = changelog(spark, sf_dir)
+def snapshots(spark: SparkSession, sf_dir: str, options=None, rows: DataFrame | None = None) -> DataFrame:
+    """The snapshot log of that changelog (``rows``); each commit is stamped five seconds after its newest record."""
+    rows = changelog(spark, sf_dir) if rows is None else rows
     stamped = rows.groupBy("commit_seq").agg((F.unix_millis(F.max("timestamp")) + 5000).alias("ingest_ms"))
     changes = commits.running_totals(commits.skip_empty(commits.table_changes(rows)))
     vectors = commits.commit_vectors(rows)

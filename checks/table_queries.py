@@ -9,7 +9,7 @@ from checks.registry import over_filtered, over_mentions, over_snapshots, over_v
 from checks.row_queries import CURRENT
 from tidelog.operators import apply, audit, commits, envelope, lineage, tables, versions
 from tidelog.operators.route import split_known_tables
-from tidelog.session import cut_lineage
+from tidelog.session import cut_lineage, written_once
 
 KEYS = ["iceberg_table", "dedup_key"]
 
@@ -556,11 +556,15 @@ def snapshot_uuid(spark, sf):
 
 def _traced_files(spark, sf):
     """Files as a changelog partitioned by table and commit would have them."""
-    rows = fx.changelog(spark, sf).withColumn(
+    # The log and the rows are read for many aggregates, so each is written first.
+    columns = ["id", "iceberg_table", "commit_seq", "topic", "partition", "offset", "timestamp", "_cdc_op"]
+    stored = written_once(fx.changelog(spark, sf).select(*columns))
+    log = written_once(fx.snapshots(spark, sf, rows=stored))
+    rows = stored.withColumn(
         "file_path", F.concat_ws("/", F.col("iceberg_table"), F.col("commit_seq").cast("string"), F.col("partition").cast("string")))
-    added = fx.snapshots(spark, sf).select(F.col("table").alias("iceberg_table"), "commit_seq", F.col("snapshot_id").alias("added_snapshot_id"))
+    added = log.select(F.col("table").alias("iceberg_table"), "commit_seq", F.col("snapshot_id").alias("added_snapshot_id"))
     files = rows.groupBy("file_path", "iceberg_table", "commit_seq").agg(F.count(F.lit(1)).alias("record_count"))
-    return rows, lineage.file_lineage(files.join(added, ["iceberg_table", "commit_seq"]), fx.snapshots(spark, sf))
+    return rows, lineage.file_lineage(files.join(added, ["iceberg_table", "commit_seq"]), log)
 
 
 @query("joi_3_file_lineage", over_snapshots("""

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import fixtures
 from checks.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -36,3 +37,33 @@ def test_half_prices_round_as_in_sql(spark, base, tmp_path):
                           ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
     found = entry.queries()["flt_5_shared_state"](spark, str(tmp_path))
     assert sorted(r.o_orderkey for r in found.collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("name", ["str_11_final_states", "str_9_states_kept", "str_8_stale_rows", "flt_5_version_filter"])
+def test_filter_moves_only_what_is_asked_for(spark, name):
+    def packs_records(rows):
+        return "record, record#" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+    assert packs_records(fixtures.accepted_rows(spark, SF))
+    assert not packs_records(entry.queries()[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["met_7_row_trace", "joi_3_file_lineage", "vc_3_apply_classified", "snk_7_unknown_tables",
+                                  "srt_2_order_by_key"])
+def test_messages_are_parsed_once(spark, name):
+    # What has been written is read from there, however many branches need it.
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "from_json" not in plan
+
+
+def test_bucket_batch_is_not_parsed_again(spark, monkeypatch):
+    from tidelog.sources import published
+    plans, own = [], published.apply_to_buckets
+
+    def seen(session, path, changes, *how, **more):
+        plans.append(changes._jdf.queryExecution().executedPlan().toString())
+        return own(session, path, changes, *how, **more)
+
+    monkeypatch.setattr(published, "apply_to_buckets", seen)
+    entry.queries()["app_3_changed_buckets"](spark, SF)
+    assert len(plans) == 1 and "from_json" not in plans[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,10 @@ def cut_lineage(rows: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return rows.checkpoint()
+
+
+def written_once(rows: DataFrame) -> DataFrame:
+    """As ``cut_lineage``, in Parquet: later reads take the columns they need. For rows that cost much to compute."""
+    path = f"{shared_folder(rows.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
