@@ -15,7 +15,7 @@ from tidelog.functions import summary as S
 from tidelog.operators import apply, envelope, evolution, lineage, tables
 from tidelog.options import parse_topic_map
 from tidelog.plans import ingest
-from tidelog.session import shared_folder
+from tidelog.session import shared_folder, written_once
 from tidelog.sources import published
 from tidelog.sources.changelog import ChangelogStore
 from tidelog.sources.topics import replay_batch, replay_stream
@@ -186,7 +186,9 @@ UNION ALL
 SELECT id, version FROM batch b JOIN last l USING (tbl, dedup_key) WHERE op <> 'D' AND (cut IS NULL OR off >= cut)"""))
 def changed_buckets(spark, sf):
     """A batch of three users' changes, applied to a table in 32 buckets."""
-    path, rows, keys = f"{_folder(spark)}/buckets", fx.valid_rows(spark, sf), ["iceberg_table", "dedup_key"]
+    path, keys = f"{_folder(spark)}/buckets", ["iceberg_table", "dedup_key"]
+    needed = ["id", "version", *keys, "_cdc_op", "partition", "offset"]
+    rows = written_once(fx.valid_rows(spark, sf).select(*needed))  # the table and the batch are both cut from them
     middle = F.lit(fx.cdc_messages(spark, sf).agg(F.max("offset")).first()[0] // 2)
     columns = ["id", "version", "dedup_key", "iceberg_table"]
     published.write_buckets(rows.where((F.col("offset") <= middle) & (F.col("_cdc_op") != "D")).select(*columns), path, keys, 32)
