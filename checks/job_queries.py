@@ -99,7 +99,7 @@ def start_position(spark, sf):
     "SELECT v.id, f.prev AS prev_version, v.version FROM valid v JOIN fold f ON v.off = f.off WHERE NOT f.ok"))
 def stale_rows(spark, sf):
     levels = versions.chunk_levels(fx.cdc_messages(spark, sf))
-    decided = versions.version_states(fx.valid_rows(spark, sf), chunk_bits=levels)
+    decided = versions.version_states(fx.valid_rows(spark, sf).select(*fx.FILTER_COLUMNS, "id"), chunk_bits=levels)
     return decided.where("NOT accepted").select("id", "prev_version", "version")
 
 
@@ -107,7 +107,7 @@ def stale_rows(spark, sf):
     SELECT topic, count(*) AS states FROM (
         SELECT topic, dedup_key FROM acc GROUP BY topic, dedup_key HAVING arg_max(type, off) <> 'DELETE') GROUP BY topic"""))
 def states_kept(spark, sf):
-    return versions.latest_states(fx.accepted_rows(spark, sf)).groupBy("topic").agg(F.count(F.lit(1)).alias("states"))
+    return versions.latest_states(fx.accepted_rows(spark, sf, fx.FILTER_COLUMNS)).groupBy("topic").agg(F.count(F.lit(1)).alias("states"))
 
 
 @query("str_10_redelivered", over_valid("SELECT id FROM valid"))

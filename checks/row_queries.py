@@ -238,7 +238,7 @@ def legacy_validation(spark, sf):
 
 @query("flt_5_version_filter", over_filtered("SELECT id, dedup_key, type, version FROM acc"))
 def version_filter(spark, sf):
-    return fx.accepted_rows(spark, sf).select("id", "dedup_key", "type", "version")
+    return fx.accepted_rows(spark, sf, (*fx.FILTER_COLUMNS, "id")).select("id", "dedup_key", "type", "version")
 
 
 @query("flt_5_shared_state", """

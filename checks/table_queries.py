@@ -115,7 +115,7 @@ def previous_version(spark, sf):
     SELECT topic, dedup_key, arg_max(CASE WHEN type = 'DELETE' THEN -1 ELSE version END, off) AS version
     FROM acc GROUP BY topic, dedup_key HAVING arg_max(type, off) <> 'DELETE'"""))
 def final_states(spark, sf):
-    return versions.latest_states(fx.accepted_rows(spark, sf))
+    return versions.latest_states(fx.accepted_rows(spark, sf, fx.FILTER_COLUMNS))
 
 
 @query("str_11_batches_equal_replay", over_filtered("SELECT id, version FROM acc"))
