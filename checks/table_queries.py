@@ -20,11 +20,15 @@ KEYS = ["iceberg_table", "dedup_key"]
 def _halves(spark, sf):
     """Commits alternate between the stored table and the incoming batch."""
     rows = fx.changelog(spark, sf)
+    return _parted(rows)
+
+
+def _parted(rows):
     return rows.where(F.col("commit_seq") % 2 == 0), rows.where(F.col("commit_seq") % 2 == 1)
 
 
-def _classified(spark, sf):
-    stored, incoming = _halves(spark, sf)
+def _classified(spark, sf, rows=None):
+    stored, incoming = _halves(spark, sf) if rows is None else _parted(rows)
     batch = versions.dedup_batch(incoming, KEYS)
     return versions.classify(batch, versions.existing_versions(stored, KEYS), KEYS)
 
@@ -71,8 +75,10 @@ def idempotence(spark, sf):
     SELECT id FROM stored WHERE (tbl, dedup_key) NOT IN (SELECT (tbl, dedup_key) FROM cls WHERE action IN ('UPDATE', 'DELETE'))
     UNION ALL SELECT id FROM cls WHERE action IN ('INSERT', 'UPDATE')"""))
 def apply_classified(spark, sf):
-    stored, _ = _halves(spark, sf)
-    return versions.apply_classified(stored, _classified(spark, sf), KEYS).select("id")
+    # Three branches read the changelog.
+    columns = [*KEYS, "id", "version", "type", "partition", "offset", "commit_seq"]
+    rows = written_once(fx.changelog(spark, sf).select(*columns))
+    return versions.apply_classified(_parted(rows)[0], _classified(spark, sf, rows), KEYS).select("id")
 
 
 @query("agg_13_batch_counters", over_valid(CLASSIFIED + """
