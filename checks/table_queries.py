@@ -217,7 +217,7 @@ def order_by_key(spark, sf):
 @query("snk_7_unknown_tables", over_valid("""
     SELECT tbl AS iceberg_table, tbl NOT LIKE '%signup' AS known, count(*) AS n FROM valid GROUP BY ALL"""))
 def unknown_tables(spark, sf):
-    rows = fx.valid_rows(spark, sf)
+    rows = written_once(fx.valid_rows(spark, sf).select("topic", "iceberg_table"))
     registry = rows.where(~F.col("topic").endswith("signup")).select("iceberg_table").distinct()
     known, unknown = split_known_tables(rows, registry)
     both = known.withColumn("known", F.lit(True)).unionByName(unknown.withColumn("known", F.lit(False)))
