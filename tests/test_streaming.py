@@ -68,6 +68,16 @@ def test_failed_commit_leaves_nothing_and_is_repeated(spark, tmp_path):
     assert store.changelog().count() == 3 and [r.commit_seq for r in store.cycles().collect()] == [0]
 
 
+def test_failed_rows_have_not_paid_for_states(spark, tmp_path):
+    store = ChangelogStore(spark, str(tmp_path / "s"))
+    broken = [lambda rows: rows.selectExpr("*", "raise_error('disk full') AS boom").where("boom IS NULL").drop("boom")]
+    with pytest.raises(Exception, match="disk full"):
+        ingest.ingest_batch(store, golden_records(spark, 0), 0, options(), steps=broken)
+    assert not store.has_states()
+    assert ingest.ingest_batch(store, golden_records(spark, 0), 0, options())
+    assert {r.dedup_key for r in store.states().collect()} == {r.dedup_key for r in store.changelog().collect()}
+
+
 def test_commit_is_done_once(spark, tmp_path):
     store = ChangelogStore(spark, str(tmp_path / "s"))
     assert ingest.ingest_batch(store, golden_records(spark, 0), 0, options())

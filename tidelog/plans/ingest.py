@@ -59,11 +59,12 @@ def commit(
     registry: DataFrame | None = None,
     assigned: DataFrame | None = None,
     steps: Sequence[Step] = (),
+    states: Callable[[], DataFrame] | None = None,
 ) -> bool:
     """Writes commit ``seq`` unless it is already there. Returns whether it was written.
 
-    Order of writing: rows, snapshots, and the cycle record that makes them visible. A failure before
-    the last step leaves nothing readers can see, and the same commit can be done again. The rows are
+    Order of writing: rows, filter states (if given), snapshots, and the cycle record that makes them visible. A failure
+    before the last step leaves nothing readers can see, and the same commit can be done again. The rows are
     computed once, by the job that writes them; counts and offsets are read from what was written.
     """
     if store.committed(seq):
@@ -82,6 +83,8 @@ def commit(
         routed.withColumn("fate", fate).drop("table_known").hint("rebalance", "fate", "iceberg_table")
         .write.mode("overwrite").partitionBy("fate", "iceberg_table").parquet(store.folder("changelog", seq))
     )
+    if states is not None:
+        store.write_states(seq, states())
     _write_metadata(store, seq, options, tombstones, assigned)
     return True
 
@@ -139,18 +142,29 @@ def ingest_batch(
 
     States are those of all accepted rows, before user steps, routing and quarantine, so the result does not depend on
     how a stream is cut into batches. Runs on the JVM alone; a repeated batch gives the same rows.
+
+    Rows come first, so an attempt that fails while they are written has not paid for states. Without user steps the
+    states are read back from the written rows, and nothing is held in memory.
     """
     if store.committed(seq):
         return False
     accepted = transform(records, options, scope, filter_states(store, scope), chunk_bits or versions.chunk_levels(records))
+    tombstones = records.where(F.col("value").isNull())
+    if not how.get("steps") and set(scope) <= {"topic"} and _keeps_rows(options):
+        return commit(store, accepted, seq, options, tombstones=tombstones,
+                      states=lambda: versions.changed_states(store.written(seq), scope), **how)
     held = accepted.persist(StorageLevel.MEMORY_AND_DISK)  # states and rows come from one run of the filter
     try:
-        store.write_states(seq, versions.changed_states(held, scope))
-        return commit(store, held, seq, options, tombstones=records.where(F.col("value").isNull()), **how)
+        return commit(store, held, seq, options, tombstones=tombstones, states=lambda: versions.changed_states(held, scope), **how)
     finally:
         held.unpersist()
 
 
+def _keeps_rows(options: IngestOptions) -> bool:
+    """Whether routing keeps every row at least once; sending all rows to an empty list of tables would not."""
+    return bool(options.dynamic_tables or options.tables is None or options.route_field is not None or options.tables)
+
+
 def filter_states(store: ChangelogStore, scope: Sequence[str] = ("topic",)) -> DataFrame | KeyedStates:
     """States in front of the next batch. A store from before states were kept gives those of its rows."""
     if store.has_states():
