@@ -78,6 +78,22 @@ def test_failed_rows_have_not_paid_for_states(spark, tmp_path):
     assert {r.dedup_key for r in store.states().collect()} == {r.dedup_key for r in store.changelog().collect()}
 
 
+def test_a_streamed_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    store, source, checkpoint = ChangelogStore(spark, str(tmp_path / "s")), str(tmp_path / "t"), str(tmp_path / "c")
+    drop(golden_records(spark, 0), source)
+    plans, commit = [], ingest.commit
+
+    def looked_at(store, accepted, *args, **how):
+        accepted.collect()
+        plans.append(accepted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return commit(store, accepted, *args, **how)
+
+    monkeypatch.setattr(ingest, "commit", looked_at)
+    run(spark, source, store, checkpoint, CHANGELOG)
+    assert len(plans) == 1 and "InMemoryTableScan" not in plans[0] and plans[0].count("ReusedExchange") >= 2
+    assert store.changelog().count() == 3 and not (tmp_path / "s" / "held" / "commit_seq=0").exists()
+
+
 def test_commit_is_done_once(spark, tmp_path):
     store = ChangelogStore(spark, str(tmp_path / "s"))
     assert ingest.ingest_batch(store, golden_records(spark, 0), 0, options())

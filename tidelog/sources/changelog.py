@@ -11,6 +11,7 @@ Layout below the root folder:
     states/commit_seq=N/                      filter states that commit N changed (null version: state gone)
     base/through=N/                           current rows up to commit N, from a compaction
     state_base/through=N/buckets=B/           filter states up to commit N, from a compaction, in B hash buckets
+    held/commit_seq=N/                        records of a batch while it is being committed
     claims/N, numbers/<source>/<batch>/seq=N  commit numbers given out, and to which batch of which query
 
 A commit owns its folders, so doing it again overwrites exactly what the first attempt left.
@@ -96,6 +97,15 @@ class ChangelogStore:
         files.mkdirs(path(f"{own}/seq={seq}"))
         return seq
 
+    def hold(self, seq: int, batch: DataFrame) -> DataFrame:
+        """The records of a commit in progress, written once and read from there until ``release``."""
+        batch.write.mode("overwrite").parquet(self.folder("held", seq))
+        return self.spark.read.schema(batch.schema).parquet(self.folder("held", seq))
+
+    def release(self, seq: int) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder("held", seq))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def write_states(self, seq: int, states: DataFrame) -> None:
         states.write.mode("overwrite").parquet(self.folder("states", seq))
 

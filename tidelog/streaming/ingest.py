@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from tidelog.operators import envelope, versions
 from tidelog.options import IngestOptions
@@ -57,12 +56,16 @@ def start_ingest(
         source = records
 
         def each(batch: DataFrame, batch_id: int) -> None:
-            # Filter, tombstone offsets and retries inside the commit read the batch; the source is asked once.
-            held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            seq = store.number_for(_query_id(batch), batch_id)
+            if store.committed(seq):
+                return
+            # Filter, tombstone offsets and retries inside the commit read the batch; the source is asked once. Files, not
+            # the cache: over a cached batch the branches of the filter do not share their exchange, and each would parse.
+            held = store.hold(seq, batch)
             try:
-                ingest.ingest_batch(store, held, store.number_for(_query_id(batch), batch_id), options, scope, chunk_bits, **how)
+                ingest.ingest_batch(store, held, seq, options, scope, chunk_bits, **how)
             finally:
-                held.unpersist()
+                store.release(seq)
     else:
         raise ValueError(f"state must be {CHANGELOG!r} or {STATE_STORE!r}, not {state!r}")
     writer = source.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
