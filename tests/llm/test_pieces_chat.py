@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -140,3 +141,17 @@ def test_learning_in_lots_changes_nothing(own, monkeypatch):
             got = own.encode(t, 3)
             assert got[0].tolist() == ids.tolist() and got[1] == found
     own.forget()
+
+
+def test_workers_keep_no_parts_of_an_ended_task(spark):
+    """Workers are reused: what the encoding keeps would count in every later stage."""
+    def kept(batches):
+        import gc
+
+        for batch in batches:
+            n = sum(type(o).__name__ == "Segmenter" for o in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int64())], names=["n"])
+
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(64)], "doc_id bigint, text string").repartition(8)
+    assert encode_documents(docs).filter("decodes").count() == 64
+    assert spark.range(64, numPartitions=8).mapInArrow(kept, "n bigint").agg({"n": "max"}).first()[0] == 0

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,20 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def returning_memory(rows: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The Arrow function, giving unused Arrow memory back when a task ends: workers are reused by other stages."""
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from rows(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo the divisor; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(divisor)

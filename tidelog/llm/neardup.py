@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.llm.common import free_names, small_batches, small_side, written
+from tidelog.llm.common import free_names, returning_memory, small_batches, small_side, written
 from tidelog.llm.components import connected_components
 from tidelog.operators.joins import join_per_key
 
@@ -162,7 +162,7 @@ def signed_documents(docs: DataFrame, weighted: bool = False, bands: int = BANDS
                 yield _signed(part, weighted, bands)
 
     needed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    return needed.mapInArrow(rows, SIGNED)
+    return needed.mapInArrow(returning_memory(rows), SIGNED)
 
 
 def _signed(batch: pa.RecordBatch, weighted: bool, bands: int) -> pa.RecordBatch:
@@ -231,7 +231,7 @@ def _shingle_sets(texts: DataFrame, weighted: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["node", "elements"])
 
-    return texts.mapInArrow(rows, "node bigint, elements array<int>")
+    return texts.mapInArrow(returning_memory(rows), "node bigint, elements array<int>")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False, bands: int = BANDS) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import small_batches
+from tidelog.llm.common import returning_memory, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _SIDE_BY_SIDE, _LONG_PART = 1 << 17, 48  # characters that pass forward at once, and of a part that passes alone
@@ -360,17 +360,6 @@ def cheapest(costs: list[list[int]], n: int) -> list[tuple[int, tuple[int, ...]]
     return found
 
 
-_SEGMENTERS: dict[str, Segmenter] = {}
-
-
-def segmenter(vocabulary: Vocabulary) -> Segmenter:
-    """This worker's segmenter; one vocabulary is kept at a time."""
-    if _SEGMENTERS.keys() != {vocabulary.name}:
-        _SEGMENTERS.clear()
-        _SEGMENTERS[vocabulary.name] = Segmenter(vocabulary)
-    return _SEGMENTERS[vocabulary.name]
-
-
 ENCODED = ("doc_id bigint, n_chars bigint, n_pieces bigint, score double, ids array<int>, "
            "nbest array<struct<score:double,n_pieces:bigint,"
            "changes:array<struct<first:int,n:int,ids:array<int>>>>>, decodes boolean")
@@ -390,12 +379,12 @@ def encode_documents(docs: DataFrame, n: int = 4, vocabulary: Vocabulary | None
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())  # tens of thousands of pieces
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = segmenter(shared.value)
+        own = Segmenter(shared.value)  # gone with the task: workers go on to other stages, and what they keep counts there
         for batch in batches:
             for start in range(0, len(batch), _ROWS):
                 yield _encoded(batch.slice(start, _ROWS), own, n)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, ENCODED)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(returning_memory(rows), ENCODED)
 
 
 def _encoded(batch: pa.RecordBatch, own: Segmenter, n: int) -> pa.RecordBatch:
