@@ -108,8 +108,7 @@ SELECT event_id AS "offset", event_id, event_type AS kind, CASE WHEN event_id %
        CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN event_id % 2 = 0 THEN 'even' END AS side,
        CAST(event_id % 3 * 2 AS BIGINT) AS tag_sum FROM events""")
 def typed_items(spark, sf):
-    rows = fx.open_records(spark, sf)
-    typed = evolution.typed_items(rows, evolution.schema_of_json(rows, "record"))
+    typed, _ = evolution.read_items(fx.open_records(spark, sf), "record")
     total = F.aggregate("tags", F.lit(0).cast("bigint"), lambda done, tag: done + tag["n"])
     return typed.select("offset", "event_id", "kind", "value", F.col("reading.k").alias("k"),
                         F.col("reading.inner.side").alias("side"), total.alias("tag_sum"))

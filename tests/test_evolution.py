@@ -108,3 +108,18 @@ def test_large_samples_need_one_row_on_the_driver(spark):
         F.col("id").alias("id"), F.when(F.col("id") == 4999, F.lit("late")).alias("rare"))).alias("record"))
     assert schema_of_json(rows, "record") == T.StructType([T.StructField("id", T.LongType(), False), T.StructField("rare", T.StringType(), True)])
     assert evolution.optional_type(T.MapType(T.StringType(), T.LongType(), False)).valueContainsNull
+
+
+@pytest.mark.parametrize("mixed", [False, True])
+def test_items_are_decoded_once(spark, mixed):
+    """What is read back has the rows and the schema of the two steps over the text; text of several types is written as there."""
+    items = [{"a": 1, "b": {"c": "x", "d": None}, "l": [1, 2.5]}, {"a": 1e-8, "b": {"c": "é\U0001f600"}, "l": [], "e": {}}]
+    odd = [{"a": 1e300, "b": {"c": 1e-8}, "l": ["t", {"k": 100.0}], "A b`": True}] if mixed else [{"a": 2**63, "l": [None], "item_a": None}]
+    rows = texts(spark, items, {"a": 2.5, "record": "r"}, odd, [7, None], "no JSON", None)
+    schema = schema_of_json(rows, "record")
+    read, found = evolution.read_items(rows, "record")
+    wanted = typed_items(rows, schema)
+    assert found == schema and read.columns == wanted.columns
+    assert sorted(map(repr, read.collect())) == sorted(map(repr, wanted.collect())) and read.count() == 4
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "parseJson" not in plan and ("from_json" in plan) == mixed

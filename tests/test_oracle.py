@@ -56,6 +56,11 @@ def test_messages_are_parsed_once(spark, name):
     assert "FileScan parquet" in plan and "from_json" not in plan
 
 
+def test_records_are_decoded_once(spark):
+    plan = entry.queries()["snk_9_typed_items"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parseJson" not in plan and "from_json" not in plan
+
+
 def test_bucket_batch_is_not_parsed_again(spark, monkeypatch):
     from tidelog.sources import published
     plans, own = [], published.apply_to_buckets

@@ -7,12 +7,14 @@ field, an array by its items, a map by its values. Two types without a common wi
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import json_fields as J
+from tidelog.session import written_once
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _DIGITS = dict(zip(_WHOLE, (3, 5, 10, 19)))
@@ -200,16 +202,26 @@ def schema_of_json(texts: DataFrame, column: str, required: bool = True) -> T.St
     fields that are never missing and never null, at every depth outside arrays. Text that is no JSON, or holds no
     object, counts for nothing; without any object the schema has no fields.
     """
+    return _schema_of(_objects(texts.select(F.col(column).alias("doc")), "doc", "doc"), required)[0]
+
+
+def _objects(rows: DataFrame, column: str, place: str) -> DataFrame:
+    """One row per object of the JSON array (or object) in ``column``, with the object in ``place``."""
     doc = J.decode(F.col(column))
-    objects = texts.select(F.explode(F.coalesce(doc.try_cast("array<variant>"), F.array(doc))).alias("doc"))
-    objects = objects.where(J.is_object(F.col("doc")))
+    items = F.explode(F.coalesce(doc.try_cast("array<variant>"), F.array(doc)))
+    return rows.withColumn(place, items).where(J.is_object(F.col(_quoted(place))))
+
+
+def _schema_of(objects: DataFrame, required: bool) -> tuple[T.StructType, bool]:
+    """The schema of the objects in the column ``doc``, and whether any of its text holds values of several types."""
     words = objects.agg(F.schema_of_variant_agg("doc").alias("words")).first()["words"]
     if words is None or not words.startswith("OBJECT<"):
-        return T.StructType([])
+        return T.StructType([]), False
     schema = _storable(T.StructType.fromDDL(f"doc {_as_spark_type(words)}")["doc"].dataType)
     if not isinstance(schema, T.StructType):
-        return T.StructType([])
-    return _with_required(objects, schema) if required else schema
+        return T.StructType([]), False
+    mixed = any(found.group() == "VARIANT" for found in _TYPE_WORD.finditer(words))
+    return _with_required(objects, schema) if required else schema, mixed
 
 
 def typed(doc: Column, kind: T.DataType) -> Column:
@@ -218,7 +230,8 @@ def typed(doc: Column, kind: T.DataType) -> Column:
 
 
 def _with_required(objects: DataFrame, schema: T.StructType) -> T.StructType:
-    read = objects.select(typed(F.col("doc"), schema).alias("r"))
+    # Null in the same places as ``typed``, which writes numbers among text differently.
+    read = objects.select(F.col("doc").try_cast(schema).alias("r"))
     counts: list[Column] = []
 
     def gather(value: Column, kind: T.StructType) -> None:
@@ -266,18 +279,36 @@ def typed_items(rows: DataFrame, schema: T.StructType, column: str = "record") -
 
     Fields named like a column of the row, in any case, get the prefix ``item_`` until the name is free.
     """
-    doc = J.decode(F.col(column))
-    items = F.coalesce(doc.try_cast("array<variant>"), F.array(doc))
-    taken = {name.lower() for name in rows.columns}
+    place = _free_name(rows)
+    return _with_fields(_objects(rows, column, place), schema, place, typed)
+
+
+def read_items(rows: DataFrame, column: str = "record", required: bool = True) -> tuple[DataFrame, T.StructType]:
+    """:func:`typed_items` under the schema that :func:`schema_of_json` finds, and this schema.
+
+    The text is decoded once: its objects are written, and the types, the required fields and the columns read there.
+    """
+    place = _free_name(rows)
+    objects = written_once(_objects(rows, column, place))
+    schema, mixed = _schema_of(objects.select(F.col(_quoted(place)).alias("doc")), required)
+    # A cast does for values of the field's own type; what becomes text is written by ``typed`` in a way of its own.
+    return _with_fields(objects, schema, place, typed if mixed else Column.try_cast), schema
+
+
+def _free_name(rows: DataFrame) -> str:
+    return "_" + max([*rows.columns, ""], key=len)  # longer than any name in use
+
+
+def _with_fields(objects: DataFrame, schema: T.StructType, place: str, read_as: Callable[[Column, T.DataType], Column]) -> DataFrame:
+    """The columns but ``place``, then the fields of the objects there."""
+    columns = [c for c in objects.columns if c != place]
+    taken = {name.lower() for name in columns}
     names = []
     for name in schema.names:
         while name.lower() in taken:
             name = f"item_{name}"
         taken.add(name.lower())
         names.append(name)
-    place = "_" + max([*rows.columns, ""], key=len)  # longer than any name in use
-    nullable = optional_type(schema)
-    read = rows.withColumn(place, F.explode(items)).where(J.is_object(F.col(_quoted(place))))
-    read = read.withColumn(place, typed(F.col(_quoted(place)), nullable))
+    read = objects.withColumn(place, read_as(F.col(_quoted(place)), optional_type(schema)))
     fields = [F.col(_quoted(place)).getField(f.name).alias(name) for f, name in zip(schema.fields, names)]
-    return read.select(*[F.col(_quoted(c)) for c in rows.columns], *fields)
+    return read.select(*[F.col(_quoted(c)) for c in columns], *fields)
