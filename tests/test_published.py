@@ -141,6 +141,17 @@ def test_options_of_published_tables(spark, tmp_path):
         published.writer_options({"write.delete.mode": "merge-on-read"})
 
 
+def test_published_records_are_decoded_once(spark, tmp_path, monkeypatch):
+    from tidelog.operators import evolution
+    calls, own = [], evolution.J.decode
+    monkeypatch.setattr(evolution.J, "decode", lambda text: calls.append(text) or own(text))
+    made = options(**{"iceberg.tables.auto-create-enabled": "true"})
+    rows = spark.sql("""SELECT 7L AS at, '[{"a": 1, "s": {"x": "t"}}, {"a": 2.5, "s": {}}]' AS record""")
+    schema = published.publish(rows, str(tmp_path / "t"), "db.t", made, record="record")
+    assert len(calls) == 1 and [(f.name, f.nullable) for f in schema.fields] == [("at", True), ("record", True), ("a", False), ("s", False)]
+    assert sorted((r.at, r.a, r.s.x) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [(7, 1.0, "t"), (7, 2.5, None)]
+
+
 # --- keyed states ---------------------------------------------------------------------------
 
 

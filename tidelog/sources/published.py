@@ -291,10 +291,11 @@ def publish(rows: DataFrame, path: str, table: str, options: IngestOptions, reco
     """
     spark, spec = rows.sparkSession, options.for_table(table).partition_by
     if record is not None:
-        found = evolution.schema_of_json(rows, record, required=not options.force_optional)
-        rows = evolution.typed_items(rows, found, record)
+        own = rows.schema
+        rows, found = evolution.read_items(rows, record, required=not options.force_optional)
         required = {f.name for f in found.fields if not f.nullable}
-        shape = T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in rows.schema.fields])
+        kinds = [*own.fields, *rows.schema.fields[len(own):]]  # what is read back has lost what is never null in the rows
+        shape = T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in kinds])
     else:
         shape = rows.schema
     stored = _stored_schema(spark, path, spec)
