@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,22 @@ def test_decontamination_of_nothing(spark):
     assert decontam.decontaminate(docs.limit(0), spark.createDataFrame([(1, "a b")], "item_id bigint, text string")).count() == 0
 
 
+def test_index_is_written_a_few_rows_at_a_time(spark):
+    """Rows of megabytes are not kept until there are 100 of them: every row group stays small, and none is passed over."""
+    words = "transform(sequence(1, 200000), i -> cast(i * 12 + id as string))"
+    docs = spark.range(0, 12, 1, 1).selectExpr("id AS doc_id", f"concat_ws(' ', {words}) AS text")
+    index = decontam.index_tokens(docs, 1 << 20)
+    groups = []
+    for path in index.inputFiles():
+        held = pq.ParquetFile(path.removeprefix("file://")).metadata
+        groups += [held.row_group(i) for i in range(held.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 12
+    assert max(g.total_byte_size for g in groups) <= 16 << 20
+    tests = spark.createDataFrame([(i, f"{24 + i} {36 + i}") for i in range(12)], "item_id bigint, text string")
+    found = decontam.phrase_matches(index, tests).select("doc_id", "n_words", "items").collect()
+    assert sorted(map(tuple, found)) == [(i, 200_000, [str(i)]) for i in range(12)]
+
+
 def test_near_matches_against_a_scan(spark):
     """Words in order with other words between them: every span is one, and every document with one has a span."""
     rng = random.Random(4)

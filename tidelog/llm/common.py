@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from tidelog.session import shared_folder
 
 
-def written(rows: DataFrame, name: str) -> DataFrame:
+def written(rows: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Rows written once below the shared folder and read from there: nothing is recomputed when executors go."""
     path = f"{shared_folder(rows.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.options(**options or {}).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

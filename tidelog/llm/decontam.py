@@ -37,6 +37,9 @@ STARTS = 1 << 21  # possible starts that are checked at a time
 
 INDEX = "segment string, first array<int>, n_words array<int>, term array<bigint>, end array<int>, place array<int>"
 SPAN = "array<struct<start:int,stop:int>>"
+# A row of the index takes megabytes, and a row group is in memory as a whole where it is written and where it is read. Its
+# size, and that of a page, would be looked at first after 100 rows.
+FEW_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
 
 
 class Segment(NamedTuple):
@@ -68,7 +71,7 @@ def index_tokens(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFra
             for low, high in slices(texts, segment_bytes):
                 yield _segment_row(batch.column("doc_id")[low:high], texts[low:high])
 
-    return written(docs.select("doc_id", "text").mapInArrow(segments, schema), "token-index")
+    return written(docs.select("doc_id", "text").mapInArrow(segments, schema), "token-index", FEW_ROWS)
 
 
 def _segment_row(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
